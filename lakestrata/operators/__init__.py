@@ -2,13 +2,16 @@
 ``number_within`` (and what builds on it), which writes its ordered input once."""
 
 from lakestrata.operators.grouping import (
+    chunk_copies,
     chunk_within,
     encode_chunks,
     number_within,
+    repeat_copies,
     schema_groups,
+    split_copies,
     with_schema_key,
 )
-from lakestrata.operators.lookup import enrich, failed, found, unknown_keys
+from lakestrata.operators.lookup import enrich, enrich_counted, failed, found, unknown_keys
 from lakestrata.operators.merge import (
     attach,
     collect_distinct,
@@ -32,12 +35,14 @@ __all__ = [
     "attach",
     "canonicalise",
     "canonicalise_from",
+    "chunk_copies",
     "chunk_within",
     "collect_distinct",
     "distinct_rows",
     "drop_fields",
     "encode_chunks",
     "enrich",
+    "enrich_counted",
     "explode_list",
     "explode_structs",
     "explode_text",
@@ -48,7 +53,9 @@ __all__ = [
     "number_within",
     "project_key",
     "rename_fields",
+    "repeat_copies",
     "schema_groups",
+    "split_copies",
     "to_int_columns",
     "union_batches",
     "unknown_keys",

@@ -1,16 +1,24 @@
-"""Documents grouped by their set of keys, and groups cut into bounded chunks."""
+"""Documents grouped by their set of keys, and groups cut into bounded chunks.
+
+Most documents share one set of keys, so a group can hold nearly all rows. No
+step here brings a group into one task: groups are range-partitioned, and only
+chunks, which have a fixed maximum size, are collected.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions import schema_key
 from lakestrata.schemas import CHUNK_SIZE
 from lakestrata.session import stage
 
+# Longest number sequence built in one row when a range is written out.
+_RANGE_BLOCK = 10_000
+
 
 def with_schema_key(
     df: DataFrame, payload: str = "payload", name: str = "schema_key"
@@ -24,66 +32,136 @@ def schema_groups(df: DataFrame, name: str = "schema_key") -> DataFrame:
     return df.groupBy(name).agg(F.count("*").alias("documents"))
 
 
-def number_within(
-    df: DataFrame, group: str, order_by: str | Sequence[str], name: str = "position"
-) -> DataFrame:
-    """Number the rows of each group from 1, in the given order.
-
-    The number is that of ``row_number`` over a window by group, but a window
-    would put a whole group into one task, and most documents share one set of
-    keys. Here the rows are range-partitioned by group and order, so a large
-    group covers many tasks; each row gets its place in its task, and the rows
-    of the group in earlier tasks are added from a table with one row per group
-    and task. The ordered rows are written once: both uses must see the same
-    places, also after the loss of an executor.
+def _place(df: DataFrame, group: str, order_by: str | Sequence[str], weight: Column) -> DataFrame:
+    """Order the rows in groups across tasks; add ``_task``, ``_place`` and, as
+    ``_before``, the weight of the group's rows in earlier tasks; ``_first`` is the
+    group's first place in the task.
 
-    ``order_by`` should identify a row in its group. Rows that tie are numbered
-    in any order, and ties cannot be spread over tasks.
+    The ordered rows are written once, because both the rows and the sums per
+    task are taken from them: they must agree, also after the loss of an executor.
     """
     keys = [group, *([order_by] if isinstance(order_by, str) else order_by)]
-    placed = stage(
+    rows = stage(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id()),
-        "numbered",
+        "ordered",
     )
     # The upper bits of the place are the task, the lower 33 the row in it.
-    placed = placed.withColumn("_task", F.shiftright("_place", 33))
-    parts = placed.groupBy(group, "_task").agg(
-        F.min("_place").alias("_first"), F.count("*").alias("_rows")
+    rows = rows.withColumn("_task", F.shiftright("_place", 33))
+    per_task = rows.groupBy(group, "_task").agg(
+        F.min("_place").alias("_first"), F.sum(weight).alias("_weight")
     )
     earlier = Window.partitionBy(group).orderBy("_task").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    starts = parts.select(
+    starts = per_task.select(
         F.col(group).alias("_group"),
-        F.col("_task").alias("_in_task"),
-        (F.col("_first") - before - 1).alias("_start"),
+        F.col("_task").alias("_of_task"),
+        "_first",
+        F.coalesce(F.sum("_weight").over(earlier), F.lit(0)).alias("_before"),
     )
-    joined = placed.join(
+    return rows.join(
         starts,
-        F.col(group).eqNullSafe(F.col("_group")) & (F.col("_task") == F.col("_in_task")),
+        F.col(group).eqNullSafe(F.col("_group")) & (F.col("_task") == F.col("_of_task")),
     )
-    return joined.select(*df.columns, (F.col("_place") - F.col("_start")).alias(name))
+
+
+def number_within(
+    df: DataFrame, group: str, order_by: str | Sequence[str], name: str = "position"
+) -> DataFrame:
+    """Number the rows of each group from 1, in the given order.
+
+    The number is that of ``row_number`` over a window by group, without the
+    window's one task per group. ``order_by`` should identify a row in its group:
+    rows that tie are numbered in any order and stay in one task. For many equal
+    rows count them and use ``chunk_copies``.
+    """
+    rows = _place(df, group, order_by, F.lit(1))
+    position = F.col("_place") - F.col("_first") + F.col("_before") + 1
+    return rows.select(*df.columns, position.alias(name))
 
 
 def chunk_within(
     df: DataFrame, group: str, order_by: str | Sequence[str], size: int = CHUNK_SIZE
 ) -> DataFrame:
     """Add ``position`` and ``chunk``: blocks of ``size`` rows in each group, from 1."""
-    return number_within(df, group, order_by).withColumn(
-        "chunk", F.expr(f"(position - 1) div {int(size)} + 1")
+    return number_within(df, group, order_by).withColumn("chunk", _chunk("position", size))
+
+
+def chunk_copies(
+    df: DataFrame,
+    group: str,
+    order_by: str | Sequence[str],
+    copies: str = "copies",
+    size: int = CHUNK_SIZE,
+) -> DataFrame:
+    """``chunk_within`` for rows that each stand for ``copies`` equal ones.
+
+    One row per row and chunk it reaches into, with its first ``position`` there
+    and the ``copies`` that fall into the chunk.
+    """
+    rows = _place(df, group, order_by, F.col(copies))
+    so_far = Window.partitionBy(group, "_task").orderBy("_place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    ends = rows.withColumn("_end", F.col("_before") + F.sum(copies).over(so_far)).withColumn(
+        "_start", F.col("_end") - F.col(copies) + 1
+    )
+    chunks = _each(ends, "chunk", _chunk("_start", size), _chunk("_end", size))
+    chunks = chunks.withColumn(
+        "position", F.greatest("_start", (F.col("chunk") - 1) * F.lit(size) + 1)
+    ).withColumn(
+        copies, F.least("_end", F.col("chunk") * F.lit(size)) - F.col("position") + 1
     )
+    return chunks.select(*df.columns, "position", "chunk")
+
+
+def split_copies(df: DataFrame, copies: str = "copies", size: int = CHUNK_SIZE) -> DataFrame:
+    """Rows that each stand for at most ``size`` copies, in the same total number."""
+    blocks = _each(df, "_block", F.lit(1).cast("bigint"), _chunk(copies, size))
+    left = F.col(copies) - (F.col("_block") - 1) * F.lit(size)
+    return blocks.withColumn(copies, F.least(left, F.lit(size))).drop("_block")
+
+
+def repeat_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
+    """Each row as many times as it says. Meant for what ``split_copies`` has bounded."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy", copies)
 
 
-def encode_chunks(df: DataFrame, group: str, payload: str = "payload") -> DataFrame:
+def encode_chunks(
+    df: DataFrame, group: str, payload: str = "payload", copies: str | None = None
+) -> DataFrame:
     """One row per chunk: its documents in order as one JSON array, and their number.
 
     A group of this aggregation is one chunk, so it never exceeds the chunk size.
     """
-    in_order = F.array_sort(F.collect_list(F.struct("position", F.col(payload).alias("json"))))
+    times = (F.col(copies) if copies else F.lit(1)).cast("int")
+    items = F.array_sort(
+        F.collect_list(
+            F.struct("position", F.col(payload).alias("json"), times.alias("times"))
+        )
+    )
+    texts = F.flatten(F.transform(items, lambda i: F.array_repeat(i["json"], i["times"])))
     return df.groupBy(group, "chunk").agg(
-        F.concat(F.lit("["), F.array_join(in_order["json"], ","), F.lit("]")).alias("documents"),
-        F.count("*").alias("records"),
+        F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("documents"),
+        F.sum(times).alias("records"),
+    )
+
+
+def _chunk(position: str, size: int) -> Column:
+    return F.expr(f"({position} - 1) div {int(size)} + 1")
+
+
+def _each(df: DataFrame, name: str, first: Column, last: Column) -> DataFrame:
+    """One row per number from ``first`` to ``last``, without a long list in any row."""
+    block = F.lit(_RANGE_BLOCK)
+    rows = df.withColumns({"_from": first, "_to": last})
+    blocks = rows.withColumn(
+        "_of", F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor(F.col("_to") / block)))
+    )
+    numbers = F.sequence(
+        F.greatest("_from", F.col("_of") * block),
+        F.least("_to", F.col("_of") * block + block - 1),
     )
+    return blocks.withColumn(name, F.explode(numbers)).drop("_from", "_to", "_of")

@@ -9,11 +9,21 @@ from lakestrata.functions import has_fields
 
 
 def enrich(keys: DataFrame, documents: DataFrame, key: str) -> DataFrame:
-    """The documents of the keys. A key that occurs n times gets its document n times.
+    """The documents of the keys. A key that occurs n times gets its document n times."""
+    return keys.join(documents, key, "inner")
+
 
-    Ask for ``keys.distinct()`` where one copy is enough.
+def enrich_counted(
+    keys: DataFrame, documents: DataFrame, key: str, copies: str = "copies"
+) -> DataFrame:
+    """The documents of the distinct keys, with the number of times each key occurs.
+
+    Holds what ``enrich`` holds. Keys are counted before they are shuffled, so a
+    key that makes up much of the list joins as one row, and its document is not
+    multiplied before something asks for the copies.
     """
-    return keys.join(documents, key, "inner")
+    counted = keys.groupBy(key).agg(F.count("*").alias(copies))
+    return documents.join(counted, key, "inner")
 
 
 def unknown_keys(keys: DataFrame, documents: DataFrame, key: str) -> DataFrame:
@@ -25,11 +35,11 @@ def _is_hit(status: str, payload: str, ok: int) -> Column:
     return F.coalesce(F.col(status) == ok, F.lit(False)) & has_fields(payload)
 
 
-def found(df: DataFrame, status: str = "status", payload: str = "payload", ok: int = 200):
+def found(df: DataFrame, status: str = "status", payload: str = "payload", ok: int = 200) -> DataFrame:
     """Lookups that succeeded and gave a JSON object with at least one field."""
     return df.filter(_is_hit(status, payload, ok))
 
 
-def failed(df: DataFrame, status: str = "status", payload: str = "payload", ok: int = 200):
+def failed(df: DataFrame, status: str = "status", payload: str = "payload", ok: int = 200) -> DataFrame:
     """All other lookups, so that together with ``found`` no row is lost."""
     return df.filter(~_is_hit(status, payload, ok))

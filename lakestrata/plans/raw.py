@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakestrata.operators import enrich, found, keep_equal, project_key, with_schema_key
+from lakestrata.operators import enrich_counted, found, keep_equal, project_key, with_schema_key
 from lakestrata.schemas import CHUNK_SIZE
 from lakestrata.session import tune
 from lakestrata.sinks import day_path, land_by_date, land_chunks
@@ -28,13 +28,14 @@ def enriched_rows(
     key: str = "id",
     artist_column: str = "nomeArtista",
 ) -> DataFrame:
-    """The documents found for the artist's keys, with their set of fields.
+    """The documents found for the artist's keys, with their set of fields and ``copies``.
 
     ``lookups`` has the key, ``status`` and ``payload``. Failed lookups are
-    filtered before the join, so they are not shuffled.
+    filtered before the join, so they are not shuffled. A key listed n times has
+    its document landed n times: that number is ``copies``.
     """
     keys = local.transform(keep_equal, artist_column, artist).transform(project_key, key)
-    return enrich(keys, found(lookups), key).transform(with_schema_key)
+    return enrich_counted(keys, found(lookups), key).transform(with_schema_key)
 
 
 def run_enrichment(
@@ -57,5 +58,6 @@ def run_enrichment(
     tune(spark)
     local = read_landed_day(spark, local_path, schema, landed_on or run_date)
     path = day_path(target, run_date)
-    land_chunks(enriched_rows(local, lookups, artist), path, size=size, order_by=order_by)
+    rows = enriched_rows(local, lookups, artist)
+    land_chunks(rows, path, size=size, order_by=order_by, copies="copies")
     return path

@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions import date_parts
-from lakestrata.operators.grouping import chunk_within, encode_chunks
+from lakestrata.operators.grouping import (
+    chunk_copies,
+    chunk_within,
+    encode_chunks,
+    repeat_copies,
+    split_copies,
+)
 from lakestrata.schemas import CHUNK_SIZE
+from lakestrata.session import tune
 from lakestrata.sources.delimited import FORMAT
 
 
@@ -25,6 +32,7 @@ def land_by_date(
     each row goes to its own day; rows are brought together by day first, which
     keeps the files few, and adaptive execution cuts a day that is too large.
     """
+    tune(df.sparkSession)
     options = {**FORMAT, "sep": sep} if file_format == "csv" else {}
     if isinstance(when, date):
         df.write.format(file_format).options(**options).mode("overwrite").save(
@@ -50,27 +58,40 @@ def land_chunks(
     group: str = "schema_key",
     size: int = CHUNK_SIZE,
     order_by: str | list[str] | None = None,
+    copies: str | None = None,
 ) -> None:
     """Write JSON documents, at most ``size`` per file, one folder per set of keys.
 
     The folder is ``schema_id=<md5 of the set of keys>``, so groups never share
-    a file name. ``path`` is replaced as a whole.
+    a file name. ``path`` is replaced as a whole. ``copies`` names a column with
+    the number of times a document is to be written.
 
     Without ``order_by`` a file holds one document per line. Spark ends a file
     after ``size`` documents, so nothing is numbered or sorted, and a set of
-    keys that most documents share is written by many tasks.
+    keys that most documents share is written by many tasks. Copies are made in
+    the writing task, after the shuffle.
 
     With ``order_by`` chunks are numbered from 1 in that order, and each is a
     JSON array in a folder ``chunk=<number>``. This costs a range shuffle and
     one folder per chunk: for a moderate number of documents.
     """
+    tune(df.sparkSession)
     keyed = df.withColumn("schema_id", F.md5(F.coalesce(group, F.lit(""))))
     if order_by is None:
         # Outside of strings a line break means nothing in JSON, inside it is escaped.
         line = F.regexp_replace(payload, r"[\r\n]+", " ").alias(payload)
-        lines = keyed.select("schema_id", line).hint("rebalance", "schema_id")
+        lines = keyed.select("schema_id", line, *([copies] if copies else []))
+        if copies:
+            lines = split_copies(lines, copies, size)
+        lines = lines.hint("rebalance", "schema_id")
+        if copies:
+            lines = repeat_copies(lines, copies)
         writer = lines.write.option("maxRecordsPerFile", size).partitionBy("schema_id")
     else:
-        arrays = encode_chunks(chunk_within(keyed, "schema_id", order_by, size), "schema_id", payload)
-        writer = arrays.drop("records").write.partitionBy("schema_id", "chunk")
+        if copies:
+            chunks = chunk_copies(keyed, "schema_id", order_by, copies, size)
+        else:
+            chunks = chunk_within(keyed, "schema_id", order_by, size)
+        arrays = encode_chunks(chunks, "schema_id", payload, copies).drop("records")
+        writer = arrays.write.partitionBy("schema_id", "chunk")
     writer.mode("overwrite").text(path)

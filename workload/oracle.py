@@ -247,6 +247,14 @@ ORACLE: dict[str, str] = {
     "sql_over_temp_views": "SELECT l_orderkey, l_suppkey, l_returnflag FROM lineitem",
     "enrich": f"""
         SELECT l.* FROM events JOIN ({_LOOKUPS}) l ON user_id = l.id""",
+    "enrich_counted": f"""
+        SELECT l.*, copies FROM ({_LOOKUPS}) l
+        JOIN (SELECT user_id, count(*) AS copies FROM events GROUP BY user_id) k
+        ON l.id = user_id""",
+    "chunk_copies": f"""
+        SELECT status, id, (row_number() OVER (PARTITION BY status ORDER BY id) - 1) // 100 + 1
+               AS chunk
+        FROM events JOIN ({_LOOKUPS}) l ON user_id = l.id""",
     "unknown_keys": """
         SELECT c_custkey AS id FROM customer
         WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
@@ -270,6 +278,16 @@ ORACLE: dict[str, str] = {
                CASE WHEN c_mktsegment = 'BUILDING' THEN c_nationkey END AS nation
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_orderstatus = 'F' AND c_mktsegment NOT IN ('MACHINERY', 'FURNITURE')""",
+    "landed_lookup_arrays": f"""
+        SELECT CAST(chunk AS VARCHAR) AS chunk,
+               '[' || string_agg(payload, ',' ORDER BY position) || ']' AS content
+        FROM (SELECT *, (position - 1) // 100 + 1 AS chunk
+              FROM (SELECT payload, payload LIKE '%"nation"%' AS fields,
+                           row_number() OVER (PARTITION BY payload LIKE '%"nation"%'
+                                              ORDER BY CAST(l.id AS VARCHAR)) AS position
+                    FROM orders JOIN ({_LOOKUPS}) l ON o_custkey = l.id
+                    WHERE o_orderstatus = 'F' AND status = 200 AND payload <> '{{}}') p) c
+        GROUP BY fields, chunk""",
     "trusted_local_movies": _trusted_local(),
     "trusted_local_movies_of_artist": _trusted_local(f"artist_name = '{ARTIST}'"),
     "trusted_local_series": _trusted_local(series=True),

@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 RUN_DATE = date(2023, 11, 6)
 EVENT = schemas.struct(id=LONG, type=STRING, k=INT, buyer=LONG, code=STRING)
+LOOKUP = schemas.struct(id=LONG, name=STRING, nation=INT)
 
 
 def query(build: Query) -> Query:
@@ -342,6 +343,19 @@ def enrich(spark, d):
     return op.enrich(_keys(spark, d), lookups(spark, d), "id")
 
 
+@query
+def enrich_counted(spark, d):
+    return op.enrich_counted(_keys(spark, d), lookups(spark, d), "id")
+
+
+@query
+def chunk_copies(spark, d):
+    """Chunks of the documents of all keys, copies as runs, written out again."""
+    documents_of_keys = op.enrich_counted(_keys(spark, d), lookups(spark, d), "id")
+    runs = documents_of_keys.transform(op.chunk_copies, "status", "id")
+    return runs.select("status", "id", "chunk", "copies").transform(op.repeat_copies)
+
+
 @query
 def unknown_keys(spark, d):
     keys = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
@@ -395,6 +409,22 @@ def landed_file(spark, d):
 @query
 def landed_lookups(spark, d):
     """Documents of a landed file's keys, landed by set of fields and read back."""
+    path = _land_lookups(spark, d)
+    return sources.read_document_lines(spark, path, LOOKUP)
+
+
+@query
+def landed_lookup_arrays(spark, d):
+    """The same in numbered chunks; whole files, as text."""
+    path = _land_lookups(spark, d, order_by="id")
+    objects = sources.read_objects(spark, path)
+    return objects.select(
+        F.regexp_extract("path", "chunk=([0-9]+)", 1).alias("chunk"),
+        F.trim(F.col("content"), F.lit("\n")).alias("content"),
+    )
+
+
+def _land_lookups(spark, d, order_by: str | None = None) -> str:
     orders = table(spark, d, "orders")
     header = ["id", "nomeArtista"]
     raw = orders.select(F.col("o_custkey").cast("string").alias("id"),
@@ -402,11 +432,10 @@ def landed_lookups(spark, d):
     local, target = work_dir(spark, "raw"), work_dir(spark, "documents")
     sinks.land_by_date(raw, local, RUN_DATE)
     answers = lookups(spark, d).withColumn("id", F.col("id").cast("string"))
-    path = plans.run_enrichment(
-        spark, local, answers, target, schemas.file_schema(header), "F", RUN_DATE
+    schema = schemas.file_schema(header)
+    return plans.run_enrichment(
+        spark, local, answers, target, schema, "F", RUN_DATE, order_by=order_by
     )
-    schema = schemas.struct(id=LONG, name=STRING, nation=INT)
-    return sources.read_document_lines(spark, path, schema)
 
 
 @query
