@@ -11,10 +11,7 @@ from lakestrata import plans, schemas
 from lakestrata.session import tune
 from lakestrata.sources import read_parquet
 
-FILES = {
-    "movies": (schemas.MOVIES_FILE, schemas.MOVIE_RENAMES),
-    "series": (schemas.SERIES_FILE, schemas.SERIES_RENAMES),
-}
+RENAMES = {"movies": schemas.MOVIE_RENAMES, "series": schemas.SERIES_RENAMES}
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -28,17 +25,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         return sub
 
     land = job("land")
-    land.add_argument("--kind", choices=FILES, required=True)
     land.add_argument("--run-date", type=date.fromisoformat, required=True)
     enrich = job("enrich", "--lookups")
-    enrich.add_argument("--kind", choices=FILES, required=True)
     enrich.add_argument("--run-date", type=date.fromisoformat, required=True)
     enrich.add_argument("--landed-on", type=date.fromisoformat)
     enrich.add_argument("--artist")
     enrich.add_argument("--chunk-size", type=int, default=schemas.CHUNK_SIZE)
     enrich.add_argument("--order-by", help="number the chunks in this order, as JSON arrays")
     local = job("trusted-local", "--table")
-    local.add_argument("--kind", choices=FILES, required=True)
+    local.add_argument("--kind", choices=RENAMES, required=True)
     local.add_argument("--artist")
     documents = job("trusted-documents", "--table")
     documents.add_argument("--lines", action="store_true", help="one document per line")
@@ -52,17 +47,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     a = _arguments(argv)
     tune(spark)
-    schema, renames = FILES[getattr(a, "kind", "movies")]
     match a.job:
         case "land":
-            plans.run_landing(spark, a.source, a.target, schema, a.run_date)
+            plans.run_landing(spark, a.source, a.target, a.run_date)
         case "enrich":
             plans.run_enrichment(
                 spark,
                 a.source,
                 read_parquet(spark, a.lookups),
                 a.target,
-                schema,
                 a.artist,
                 a.run_date,
                 a.landed_on,
@@ -70,7 +63,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
                 a.order_by,
             )
         case "trusted-local":
-            plans.run_local(spark, a.source, a.target, renames, a.artist, a.table, schema)
+            plans.run_local(spark, a.source, a.target, RENAMES[a.kind], a.artist, a.table)
         case "trusted-documents":
             plans.run_documents(spark, a.source, a.target, a.table, arrays=not a.lines)
         case "refined-series":

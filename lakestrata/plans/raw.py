@@ -5,28 +5,30 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
+from lakestrata.layout import day_path
 from lakestrata.operators import enrich_counted, found, keep_equal, project_key, with_schema_key
-from lakestrata.schemas import CHUNK_SIZE
+from lakestrata.schemas import CHUNK_SIZE, file_schema
 from lakestrata.session import tune
-from lakestrata.sinks import day_path, land_by_date, land_chunks
+from lakestrata.sinks import land_by_date, land_chunks
 from lakestrata.sources import read_delimited, read_landed_day
 
 
-def run_landing(
-    spark: SparkSession, source: str, target: str, schema: T.StructType, run_date: date
-) -> None:
-    """Copy a delimited dataset into the folder of the run date."""
-    land_by_date(read_delimited(spark, source, schema), target, run_date)
+# Columns of a local file that give the keys to look up.
+KEY, ARTIST = "id", "nomeArtista"
+
+
+def run_landing(spark: SparkSession, source: str, target: str, run_date: date) -> None:
+    """Copy a delimited dataset, whatever its columns, into the folder of the run date."""
+    land_by_date(read_delimited(spark, source), target, run_date)
 
 
 def enriched_rows(
     local: DataFrame,
     lookups: DataFrame,
     artist: str | None,
-    key: str = "id",
-    artist_column: str = "nomeArtista",
+    key: str = KEY,
+    artist_column: str = ARTIST,
 ) -> DataFrame:
     """The documents found for the artist's keys, with their set of fields and ``copies``.
 
@@ -43,7 +45,6 @@ def run_enrichment(
     local_path: str,
     lookups: DataFrame,
     target: str,
-    schema: T.StructType,
     artist: str | None,
     run_date: date,
     landed_on: date | None = None,
@@ -56,7 +57,9 @@ def run_enrichment(
     date. Which kind of entity the keys are is a matter of the ``lookups`` given.
     """
     tune(spark)
-    local = read_landed_day(spark, local_path, schema, landed_on or run_date)
+    local = read_landed_day(
+        spark, local_path, landed_on or run_date, file_schema([KEY, ARTIST])
+    )
     path = day_path(target, run_date)
     rows = enriched_rows(local, lookups, artist)
     land_chunks(rows, path, size=size, order_by=order_by, copies="copies")

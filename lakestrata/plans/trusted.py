@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from lakestrata.operators import (
     canonicalise,
@@ -22,6 +21,7 @@ from lakestrata.schemas import (
     DOCUMENT_UNUSED,
     LOCAL_UNUSED,
     TRUSTED_DATABASE,
+    file_schema,
 )
 from lakestrata.sinks import save_table
 from lakestrata.sources import read_delimited, read_document_arrays, read_document_lines
@@ -63,10 +63,9 @@ def run_local(
     renames: Mapping[str, str],
     artist: str | None,
     table: str,
-    schema: T.StructType,
     database: str = TRUSTED_DATABASE,
 ) -> str:
-    raw = read_delimited(spark, source, schema)
+    raw = read_delimited(spark, source, contract=file_schema([*renames, *LOCAL_UNUSED]))
     return save_table(trusted_local_rows(raw, renames, artist), database, table, target)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # --- Fixed values -----------------------------------------------------------
-# Column names, in file order, of the two delimited source files, with the
+# Column names of the two delimited source files, with the
 # name each gets in the trusted zone. They have to match the files as they are
 # delivered (the spelling "tituloPincipal" included) and the tables consumers
 # already query.
@@ -96,9 +96,6 @@ def file_schema(header: Iterable[str]) -> T.StructType:
 
 SERIES_RENAMES = MOVIE_RENAMES | SERIES_ONLY_RENAMES
 
-MOVIES_FILE = file_schema([*MOVIE_RENAMES, *LOCAL_UNUSED])
-SERIES_FILE = file_schema([*SERIES_RENAMES, *LOCAL_UNUSED])
-
 DOCUMENT = struct(
     id=LONG,
     imdb_id=STRING,

@@ -1,6 +1,6 @@
 """Writers. Each can be run again with the same input and leaves the same data."""
 
 from lakestrata.sinks.catalog import save_table
-from lakestrata.sinks.landing import day_path, land_by_date, land_chunks
+from lakestrata.sinks.landing import land_by_date, land_chunks
 
-__all__ = ["day_path", "land_by_date", "land_chunks", "save_table"]
+__all__ = ["land_by_date", "land_chunks", "save_table"]

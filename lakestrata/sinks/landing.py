@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions import date_parts
+from lakestrata.layout import DELIMITED, day_path
 from lakestrata.operators.grouping import (
     chunk_copies,
     chunk_within,
@@ -15,12 +16,6 @@ from lakestrata.operators.grouping import (
 )
 from lakestrata.schemas import CHUNK_SIZE
 from lakestrata.session import tune
-from lakestrata.sources.delimited import FORMAT
-
-
-def day_path(path: str, run_date: date) -> str:
-    """Folder of one day, named so that Spark finds the partitions."""
-    return f"{path}/year={run_date:%Y}/month={run_date:%m}/day={run_date:%d}"
 
 
 def land_by_date(
@@ -33,7 +28,7 @@ def land_by_date(
     keeps the files few, and adaptive execution cuts a day that is too large.
     """
     tune(df.sparkSession)
-    options = {**FORMAT, "sep": sep} if file_format == "csv" else {}
+    options = {**DELIMITED, "sep": sep} if file_format == "csv" else {}
     if isinstance(when, date):
         df.write.format(file_format).options(**options).mode("overwrite").save(
             day_path(path, when)

@@ -3,52 +3,60 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions import path_date_parts
 from lakestrata.functions.dates import DATE_PARTS
-
-# How delimited files are read here and written by the landing sink.
-# A quote inside a quoted field is doubled.
-FORMAT = {"header": "true", "quote": '"', "escape": '"'}
+from lakestrata.layout import DELIMITED_READ, day_path
+from lakestrata.schemas import check_contract
 
 
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType,
+    schema: T.StructType | None = None,
+    contract: T.StructType | None = None,
     sep: str = "|",
     mode: str = "FAILFAST",
     dated_directories: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header row; the header must match ``schema``.
+    """Delimited text with a header row.
+
+    With a ``schema`` the header has to match it, column by column. Without one
+    the columns are those of the header, all text; ``contract`` names columns
+    that must be there, in any position. Either way no value is inspected.
 
     ``dated_directories`` walks plain ``yyyy/mm/dd`` directories below ``path``
     and adds the date as ``year``, ``month`` and ``day``.
     """
-    reader = spark.read.schema(schema).options(**FORMAT, sep=sep, mode=mode, enforceSchema="false")
-    if not dated_directories:
-        return reader.csv(path)
-    found = reader.option("recursiveFileLookup", "true").csv(path)
-    return found.withColumns(path_date_parts())
+    reader = spark.read.options(**DELIMITED_READ, sep=sep, mode=mode, enforceSchema="false")
+    if schema is not None:
+        reader = reader.schema(schema)
+    if dated_directories:
+        rows = reader.option("recursiveFileLookup", "true").csv(path)
+        rows = rows.withColumns(path_date_parts())
+    else:
+        rows = reader.csv(path)
+    return rows if contract is None else check_contract(rows, contract)
+
+
+def read_landed_day(
+    spark: SparkSession,
+    path: str,
+    run_date: date,
+    contract: T.StructType | None = None,
+    sep: str = "|",
+) -> DataFrame:
+    """One day of a dataset written by ``sinks.land_by_date``; no other day is looked at."""
+    return read_delimited(spark, day_path(path, run_date), contract=contract, sep=sep)
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> DataFrame:
-    """A dataset written by ``sinks.land_by_date``, with its ``year``, ``month`` and ``day``."""
+    """All days, with their ``year``, ``month`` and ``day`` as text.
+
+    A filter on these columns is a partition filter: other days are not read.
+    """
     dated = T.StructType(
         schema.fields + [T.StructField(name, T.StringType()) for name in DATE_PARTS]
     )
-    return spark.read.schema(dated).options(**FORMAT, sep=sep, mode="FAILFAST").csv(path)
-
-
-def read_landed_day(
-    spark: SparkSession, path: str, schema: T.StructType, run_date: date, sep: str = "|"
-) -> DataFrame:
-    """One day of such a dataset; the files of other days are not read."""
-    on_day = (
-        (F.col("year") == f"{run_date:%Y}")
-        & (F.col("month") == f"{run_date:%m}")
-        & (F.col("day") == f"{run_date:%d}")
-    )
-    return read_landed(spark, path, schema, sep).filter(on_day).drop(*DATE_PARTS)
+    return spark.read.schema(dated).options(**DELIMITED_READ, sep=sep, mode="FAILFAST").csv(path)

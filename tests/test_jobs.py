@@ -1,0 +1,55 @@
+"""All jobs from the command line, over files of the given tables."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from lakestrata import jobs, sources
+from lakestrata import operators as op
+from lakestrata.layout import day_path
+from lakestrata.schemas import REFINED_DATABASE, UNIFIED_MOVIES, UNIFIED_SERIES
+from lakestrata.session import work_dir
+from workload.inputs import ARTIST, document_batches, local_file
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_lake_from_the_command_line(spark):
+    base = work_dir(spark, "lake")
+
+    def run(job, source, target, *more):
+        jobs.run(spark, [job, "--source", f"{base}/{source}", "--target", f"{base}/{target}", *more])
+
+    for kind in ("movies", "series"):
+        file = local_file(spark, SF_DIR, series=kind == "series")
+        file.write.options(header=True, sep="|").csv(f"{base}/in/{kind}")
+        run("land", f"in/{kind}", f"raw/{kind}", "--run-date", "2023-11-06")
+    day = "year=2023/month=11/day=06"
+
+    docs = document_batches(spark, SF_DIR)
+    answers = op.union_batches(docs).select(
+        F.col("imdb_id").alias("id"), F.lit(200).alias("status"),
+        F.to_json(F.struct("*")).alias("payload"),
+    )
+    answers.write.parquet(f"{base}/answers")
+    run("enrich", "raw/movies", "raw/docs", "--lookups", f"{base}/answers",
+        "--run-date", "2023-11-07", "--landed-on", "2023-11-06", "--artist", ARTIST)
+
+    for kind in ("movies", "series"):
+        run("trusted-local", f"raw/{kind}/{day}", f"trusted/{kind}", "--kind", kind,
+            "--artist", ARTIST, "--table", f"trusted_local_{kind}")
+    run("trusted-documents", "raw/docs/year=2023/month=11/day=07", "trusted/docs", "--lines",
+        "--table", "trusted_api_movies_1")
+    run("refined-series", "trusted/series", "refined/series")
+    run("refined-movies", "trusted/movies", "refined/movies", "--batches", f"{base}/trusted/docs")
+
+    movies = sources.read_table(spark, f"{REFINED_DATABASE}.{UNIFIED_MOVIES}")
+    titles = local_file(spark, SF_DIR).filter(F.col("nomeArtista") == ARTIST).select("id")
+    complete = op.union_batches(docs).filter(F.size("production_countries") > 0)
+    want = titles.join(complete, titles["id"] == complete["imdb_id"], "left_semi").distinct()
+    assert movies.select("imdb_id").distinct().count() == want.count() > 0
+    assert sources.read_table(spark, f"{REFINED_DATABASE}.{UNIFIED_SERIES}").count() > 0
+
+
+def test_day_path():
+    assert day_path("x", date(2023, 1, 2)) == "x/year=2023/month=01/day=02"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakestrata import functions as fn
 from lakestrata import operators as op
 from lakestrata import plans, schemas, sinks, sources
+from lakestrata.layout import day_path
 from lakestrata.schemas import INT, LONG, STRING
 from lakestrata.session import tune, work_dir
 from workload.inputs import (
@@ -51,7 +52,7 @@ def scan_delimited(spark, d):
     )
     path = work_dir(spark, "delimited")
     rows.write.options(header=True, sep="|").csv(path)
-    return sources.read_delimited(spark, path, schemas.file_schema(rows.columns))
+    return sources.read_delimited(spark, path, schema=schemas.file_schema(rows.columns))
 
 
 @query
@@ -402,8 +403,8 @@ def landed_file(spark, d):
     source, target = work_dir(spark, "source"), work_dir(spark, "raw")
     raw.write.options(header=True, sep="|").csv(source)
     for day in (RUN_DATE, RUN_DATE, date(2023, 12, 1)):
-        plans.run_landing(spark, source, target, schemas.MOVIES_FILE, day)
-    return sources.read_landed_day(spark, target, schemas.MOVIES_FILE, RUN_DATE)
+        plans.run_landing(spark, source, target, day)
+    return sources.read_landed_day(spark, target, RUN_DATE)
 
 
 @query
@@ -426,15 +427,13 @@ def landed_lookup_arrays(spark, d):
 
 def _land_lookups(spark, d, order_by: str | None = None) -> str:
     orders = table(spark, d, "orders")
-    header = ["id", "nomeArtista"]
     raw = orders.select(F.col("o_custkey").cast("string").alias("id"),
                         F.col("o_orderstatus").alias("nomeArtista"))
     local, target = work_dir(spark, "raw"), work_dir(spark, "documents")
     sinks.land_by_date(raw, local, RUN_DATE)
     answers = lookups(spark, d).withColumn("id", F.col("id").cast("string"))
-    schema = schemas.file_schema(header)
     return plans.run_enrichment(
-        spark, local, answers, target, schema, "F", RUN_DATE, order_by=order_by
+        spark, local, answers, target, "F", RUN_DATE, order_by=order_by
     )
 
 
@@ -504,15 +503,14 @@ def catalogued_lake(spark, d):
     """All jobs in turn through files and catalog tables, up to the refined table."""
     source, raw, trusted, refined = (work_dir(spark, n) for n in ("src", "raw", "trusted", "ref"))
     local_file(spark, d).write.options(header=True, sep="|").csv(source)
-    plans.run_landing(spark, source, f"{raw}/movies", schemas.MOVIES_FILE, RUN_DATE)
+    plans.run_landing(spark, source, f"{raw}/movies", RUN_DATE)
     plans.run_local(
         spark,
-        sinks.day_path(f"{raw}/movies", RUN_DATE),
+        day_path(f"{raw}/movies", RUN_DATE),
         f"{trusted}/local",
         schemas.MOVIE_RENAMES,
         None,
         "trusted_local_movies",
-        schemas.MOVIES_FILE,
     )
     batches = []
     for number, batch in enumerate(document_batches(spark, d), start=1):
