@@ -39,6 +39,9 @@ def _place(df: DataFrame, group: str, order_by: str | Sequence[str], weight: Col
 
     The ordered rows are written once, because both the rows and the sums per
     task are taken from them: they must agree, also after the loss of an executor.
+    The sums (one row per group and task) are written too. Spark then knows their
+    size when it plans the join: if small they are broadcast, and the rows are
+    not shuffled again.
     """
     keys = [group, *([order_by] if isinstance(order_by, str) else order_by)]
     rows = stage(
@@ -62,7 +65,7 @@ def _place(df: DataFrame, group: str, order_by: str | Sequence[str], weight: Col
         F.coalesce(F.sum("_weight").over(earlier), F.lit(0)).alias("_before"),
     )
     return rows.join(
-        starts,
+        stage(starts, "starts"),
         F.col(group).eqNullSafe(F.col("_group")) & (F.col("_task") == F.col("_of_task")),
     )
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.schemas import DOCUMENT, INT, struct
 
@@ -59,18 +60,7 @@ def local_file(spark: SparkSession, sf_dir: str, series: bool = False) -> DataFr
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as documents with nested lists, with their ``batch``."""
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
-        )
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-
-    def field(name: str):
+    def field(name: str) -> T.DataType:
         return DOCUMENT[name].dataType
 
     def company(key: str, name: str, origin: str) -> Column:
@@ -88,10 +78,38 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit(f"{kind} "), F.col(flag)).alias("name"),
         )
 
-    supplier = company("s_suppkey", "s_name", "n_name")
-    nation = company("n_nationkey", "n_name", "r_name")
-    country = F.struct(
-        F.col("r_regionkey").cast("string").alias("iso_3166_1"), F.col("r_name").alias("name")
+    # The dimensions take the shape of nested lists before they meet the lines.
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        "p_name",
+        "p_type",
+        "p_brand",
+        F.transform(
+            F.split("p_name", " "),
+            lambda word, i: F.struct(i.cast("bigint").alias("id"), word.alias("name")),
+        ).alias("genres"),
+    )
+    suppliers = (
+        table(spark, sf_dir, "supplier")
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("s_suppkey").alias("l_suppkey"),
+            company("s_suppkey", "s_name", "n_name").alias("supplier"),
+            company("n_nationkey", "n_name", "r_name").alias("nation"),
+            F.struct(
+                F.col("r_regionkey").cast("string").alias("iso_3166_1"),
+                F.col("r_name").alias("name"),
+            ).alias("country"),
+        )
+    )
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
+        )
+        .join(parts, "l_partkey")
+        .join(suppliers, "l_suppkey")
     )
     columns = {
         "id": F.col("l_linenumber").cast("bigint"),
@@ -104,14 +122,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "video": F.col("l_linestatus") == "F",
         "backdrop_path": F.lit(None).cast("string"),
         "belongs_to_collection": F.lit(None).cast(field("belongs_to_collection")),
-        "genres": F.transform(
-            F.split("p_name", " "),
-            lambda word, i: F.struct(i.cast("bigint").alias("id"), word.alias("name")),
-        ),
+        "genres": F.col("genres"),
         "production_companies": F.when(
-            F.col("l_returnflag") == "R", F.array(supplier, nation)
-        ).otherwise(F.array(supplier)),
-        "production_countries": F.when(F.col("l_linestatus") == "F", F.array(country)).otherwise(
+            F.col("l_returnflag") == "R", F.array("supplier", "nation")
+        ).otherwise(F.array("supplier")),
+        "production_countries": F.when(F.col("l_linestatus") == "F", F.array("country")).otherwise(
             F.array().cast(field("production_countries"))
         ),
         "spoken_languages": F.array(
