@@ -1,5 +1,6 @@
 """Steps from DataFrame to DataFrame. None starts a Spark job, except
-``number_within`` (and what builds on it), which writes its ordered input once."""
+``number_within`` and what builds on it, which write their ordered input, and
+``enrich_counted``, which writes the counted keys."""
 
 from lakestrata.operators.grouping import (
     chunk_copies,
@@ -11,7 +12,7 @@ from lakestrata.operators.grouping import (
     split_copies,
     with_schema_key,
 )
-from lakestrata.operators.lookup import enrich, enrich_counted, failed, found, unknown_keys
+from lakestrata.operators.lookup import count_keys, enrich, enrich_counted, failed, found, unknown_keys
 from lakestrata.operators.merge import (
     attach,
     collect_distinct,
@@ -38,6 +39,7 @@ __all__ = [
     "chunk_copies",
     "chunk_within",
     "collect_distinct",
+    "count_keys",
     "distinct_rows",
     "drop_fields",
     "encode_chunks",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions import has_fields
+from lakestrata.session import stage
 
 
 def enrich(keys: DataFrame, documents: DataFrame, key: str) -> DataFrame:
@@ -18,12 +19,19 @@ def enrich_counted(
 ) -> DataFrame:
     """The documents of the distinct keys, with the number of times each key occurs.
 
-    Holds what ``enrich`` holds. Keys are counted before they are shuffled, so a
-    key that makes up much of the list joins as one row, and its document is not
-    multiplied before something asks for the copies.
+    Holds what ``enrich`` holds. A key that makes up much of the list joins as one
+    row, and its document is not multiplied before something asks for the copies.
+
+    The counted keys are written first. Spark then knows their size when it plans
+    the join: if they are few they are broadcast and the documents, much the
+    larger side, are not shuffled.
     """
-    counted = keys.groupBy(key).agg(F.count("*").alias(copies))
-    return documents.join(counted, key, "inner")
+    return documents.join(stage(count_keys(keys, key, copies), "keys"), key, "inner")
+
+
+def count_keys(keys: DataFrame, key: str, copies: str = "copies") -> DataFrame:
+    """Each key once, with the number of times it occurs; counted before the shuffle."""
+    return keys.groupBy(key).agg(F.count("*").alias(copies))
 
 
 def unknown_keys(keys: DataFrame, documents: DataFrame, key: str) -> DataFrame:

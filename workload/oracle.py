@@ -159,7 +159,7 @@ ORACLE: dict[str, str] = {
                nullif(c_mktsegment, 'MACHINERY') AS segment FROM customer""",
     "scan_json_arrays": _EVENT_FIELDS,
     "scan_json_lines": _EVENT_FIELDS,
-    "scan_parquet": "SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'",
+    "scan_parquet": "SELECT l_orderkey, l_suppkey FROM lineitem",
     "read_objects": f"SELECT documents AS content FROM ({_ENCODED}) e",
     "save_table": "SELECT p_partkey, p_brand, p_size FROM part",
     "land_by_date": """
@@ -251,6 +251,7 @@ ORACLE: dict[str, str] = {
         SELECT l.*, copies FROM ({_LOOKUPS}) l
         JOIN (SELECT user_id, count(*) AS copies FROM events GROUP BY user_id) k
         ON l.id = user_id""",
+    "count_keys": "SELECT user_id AS id, count(*) AS copies FROM events GROUP BY user_id",
     "chunk_copies": f"""
         SELECT status, id, (row_number() OVER (PARTITION BY status ORDER BY id) - 1) // 100 + 1
                AS chunk

@@ -74,7 +74,7 @@ def scan_json_lines(spark, d):
 def scan_parquet(spark, d):
     contract = schemas.struct(l_orderkey=LONG, l_suppkey=LONG)
     lines = sources.read_parquet(spark, f"{d}/lineitem.parquet", contract)
-    return lines.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_suppkey")
+    return lines.select("l_orderkey", "l_suppkey")
 
 
 @query
@@ -357,6 +357,11 @@ def chunk_copies(spark, d):
     return runs.select("status", "id", "chunk", "copies").transform(op.repeat_copies)
 
 
+@query
+def count_keys(spark, d):
+    return op.count_keys(_keys(spark, d), "id")
+
+
 @query
 def unknown_keys(spark, d):
     keys = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
