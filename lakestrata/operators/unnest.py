@@ -41,10 +41,9 @@ def explode_structs(
 
     Fields that are not asked for are pruned before the explode.
     """
-    items = df.select("*", _explode(keep_empty)(column).alias("_item")).drop(column)
-    return items.withColumns({new: F.col("_item").getField(f) for new, f in fields.items()}).drop(
-        "_item"
-    )
+    items = df.select("*", _explode(keep_empty)(column).alias("_item"))
+    values = {new: F.col("_item").getField(field) for new, field in fields.items()}
+    return items.withColumns(values).drop(column, "_item")
 
 
 def unnest_lists(

@@ -99,11 +99,10 @@ def save_table(spark, d):
 def land_by_date(spark, d):
     path = work_dir(spark, "dated")
     events = table(spark, d, "events").select("event_id", "event_type", "ts")
-    sinks.land_by_date(events.drop("ts"), path, RUN_DATE)
+    sinks.land_by_date(events, path, RUN_DATE)
     for _ in range(2):
-        rows = events.withColumn("_ts", F.col("ts")).drop("ts")
-        sinks.land_by_date(rows, path, F.col("_ts"))
-    schema = schemas.struct(event_id=LONG, event_type=STRING, _ts=STRING)
+        sinks.land_by_date(events, path, F.col("ts"))
+    schema = schemas.struct(event_id=LONG, event_type=STRING, ts=STRING)
     landed = sources.read_landed(spark, path, schema)
     return landed.select("event_id", "event_type", "year", "month", "day")
 
