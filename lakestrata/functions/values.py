@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def to_int(column: Column | str) -> Column:
     """Text to int: null where it is no number, the fraction cut off.
 
-    Same values as a cast with ANSI mode off, in either mode.
+    Same values as a cast with ANSI mode off, in either mode. Only digits reach
+    the cast: for other text it would raise and catch an error in every row.
     """
-    text = F.trim(F.col(column) if isinstance(column, str) else column)
-    return F.regexp_replace(text, r"(?<=[0-9])\.[0-9]*$", "").try_cast("int")
+    whole = F.regexp_extract(column, r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$", 1)
+    return F.nullif(whole, F.lit("")).try_cast("int")
 
 
 def canonical(column: Column | str, spellings: Mapping[str, str]) -> Column:

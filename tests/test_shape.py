@@ -40,7 +40,10 @@ def test_canonicalise_literals_and_table(spark):
     assert op.canonicalise(df, "c", {}).exceptAll(df).isEmpty()
 
 
-NUMBERS = ["90", "090", " 90 ", "90.7", "-3.2", "90.", "x", "", "1e2", "1.2.3", "99999999999", "+5"]
+NUMBERS = [
+    "90", "090", " 90 ", "90.7", "-3.2", "90.", "+5", "\t7\n", "2147483647", "-2147483648",
+    "x", "", "n/a", "1e2", "1.2.3", "1 2", "--1", "99999999999", "2147483648", "0x1F",
+]
 
 
 def test_to_int_gives_what_a_cast_without_ansi_gives(spark):
