@@ -1,0 +1,147 @@
+"""Token ids, packing and files of id planes."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from lakestrata.llm import packing, token_files
+from lakestrata.llm.tokenize import WordEncoder
+
+from .helpers import documents, rows_of
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PLAIN = Tokenizer.from_file(VOCABULARY)
+ENCODER = WordEncoder(VOCABULARY, memo=50)
+
+TEXTS = [
+    (0, "A first text, with words."),
+    (1, None),
+    (2, ""),
+    (3, "it's | a|b <|endoftext|> \x1c x y　z é ́e İ"),
+    (4, "word " * 9000),
+    (5, "A first text, with words."),
+    (5, "A first text, with words."),
+    (None, "no number"),
+    (7, "x" * 5000),
+    (-3, "below zero"),
+]
+
+
+def ids(text):
+    return PLAIN.encode(text or "", add_special_tokens=False).ids
+
+
+def packed(values):
+    return np.array(values, dtype="<u4").tobytes()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
+def test_words_give_the_ids_of_the_whole_text(text):
+    assert ENCODER.encode([text]) == [packed(ids(text))]
+
+
+def test_memo_is_bounded_and_exact():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh|é") * rng.randrange(1, 5) + "." for _ in range(40)) for _ in range(400)]
+    assert ENCODER.encode(texts) == [packed(ids(t)) for t in texts]
+    assert len(ENCODER.young) <= 50 + 64 * 40
+
+
+def check_bins(counts, capacity):
+    bins = packing.plan_bins(dict(counts), capacity)
+    assert all(0 < sum(b.lengths) <= capacity and b.count > 0 for b in bins)
+    used = Counter()
+    for b in bins:
+        for n in b.lengths:
+            used[n] += b.count
+        assert sum(3 * n > capacity for n in b.lengths) <= 2
+    assert used == Counter(counts)
+    return sum(b.count for b in bins)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 60), max_size=25))
+def test_plan_takes_every_item_once(counts):
+    n = check_bins(counts, 40)
+    low = -(-sum(k * v for k, v in counts.items()) // 40)
+    assert low <= n <= 1 + 2 * low
+
+
+def test_plan_is_the_greedy_one():
+    # 26 pairs with 14, 22 with 18; the gaps of 0 and 0 leave 5 to a new bin.
+    assert check_bins({26: 3, 22: 2, 18: 2, 14: 3, 5: 1}, 40) == 6
+    assert check_bins({14: 5}, 40) == 3
+    assert check_bins({}, 40) == 0
+    with pytest.raises(ValueError):
+        packing.plan_bins({41: 1}, 40)
+
+
+def test_packing_is_gapless_and_whole(spark):
+    docs = documents(spark, TEXTS).selectExpr("*", "1 AS length", "2 AS offset", "3 AS task")
+    got = rows_of(packing.pack(docs, VOCABULARY, keep_ids=True))
+    want = Counter()
+    for doc, text in TEXTS:
+        values = [*ids(text), 1]
+        for piece, at in enumerate(range(0, len(values), 4096)):
+            part = packed(values[at : at + 4096])
+            want[doc, piece, at, len(part) // 4, zlib.crc32(part)] += 1
+    keys = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert Counter(tuple(r[k] for k in keys) for r in got) == want
+    by_sequence = {}
+    for r in got:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"], r["ids"]))
+    for parts in by_sequence.values():
+        parts.sort()
+        assert [p[0] for p in parts] == [sum(x[1] for x in parts[:i]) for i in range(len(parts))]
+        assert sum(p[1] for p in parts) <= 4096
+    whole = rows_of(packing.sequences(packing.pack(docs, VOCABULARY, keep_ids=True)))
+    assert sum(r["length"] for r in whole) == sum(r["length"] for r in got)
+    assert all(len(r["ids"]) == 4 * r["length"] for r in whole)
+    assert packing.pack(docs.limit(0), VOCABULARY).count() == 0
+
+
+def test_hot_length_gets_different_places(spark):
+    docs = spark.range(0, 3000, 1, 7).selectExpr("id AS doc_id", "'one two three' AS text")
+    got = rows_of(packing.pack(docs, VOCABULARY, capacity=10))
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == 3000
+    assert len({r["sequence_id"] for r in got}) == 1500
+
+
+@pytest.mark.parametrize("planes", ["bit", "byte"])
+def test_planes_are_inverted(planes):
+    for values in ([], [0], [2**32 - 1, 0, 7], list(range(1000))):
+        block = np.array(values, dtype="<u4")
+        parts = token_files.to_planes(block, planes)
+        assert token_files.from_planes(parts, len(block), planes).tolist() == values
+
+
+@pytest.mark.parametrize("planes", ["bit", "byte"])
+def test_files_give_back_all_ids(spark, planes):
+    docs = documents(spark, TEXTS).selectExpr("*", "1 AS block", "2 AS base")
+    folder = token_files.new_folder(spark)
+    listed = token_files.write_ids(docs, folder, VOCABULARY, planes=planes, block_size=512)
+    got = rows_of(token_files.read_ids(listed, with_ids=True))
+    ordered = sorted(TEXTS, key=lambda t: (t[0] is not None, t[0] or 0, t[1] or ""))
+    start, want = 0, []
+    for doc, text in ordered:
+        raw = packed([*ids(text), 2])
+        want.append((start, doc, len(raw) // 4, zlib.crc32(raw), raw))
+        start += len(raw) // 4
+    keys = ("start", "doc_id", "n_tokens", "ids_crc32", "ids")
+    assert sorted(tuple(r[k] for k in keys) for r in got) == want
+    path = max(rows_of(listed), key=lambda r: r["n_ids"])["path"]
+    system, inner = token_files.files(path)
+    with system.open_input_file(inner) as source:
+        reader = token_files.PlaneReader(source)
+        whole = b"".join(raw for _, _, raw in reader.documents())
+        assert reader.ids(700, 900).tobytes() == whole[2800:6400]
+    empty = token_files.write_ids(docs.limit(0), folder, VOCABULARY)
+    assert token_files.read_ids(empty).count() == 0
