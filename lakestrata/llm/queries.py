@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.session import tune
 
 from . import packing, token_files
+from .near_dedup import NearDuplicates
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -28,6 +29,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), 4096, end_id=1)
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(shingle=3, share=(85, 100)).groups(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     listed = token_files.write_ids(docs, token_files.new_folder(spark), vocabulary(), end_id=2)
@@ -36,6 +41,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
 
