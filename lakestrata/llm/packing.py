@@ -165,7 +165,7 @@ def cut_tokens(
                 continue
             rows = []
             ids_of = batch.column(0).to_pylist()
-            for doc, raw in zip(ids_of, encode(batch.column(1).to_pylist()), strict=True):
+            for doc, raw in zip(ids_of, encode(batch.column(1)), strict=True):
                 raw += end
                 for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]

@@ -222,7 +222,7 @@ def write_ids(
         for batch in batches:
             numbers = batch.column("block").to_pylist()
             ids_of = batch.column("doc_id").to_pylist()
-            raws = encode(batch.column("text").to_pylist())
+            raws = encode(batch.column("text"))
             for number, doc, raw in zip(numbers, ids_of, raws, strict=True):
                 if number != current:
                     close()

@@ -2,51 +2,45 @@
 
 from __future__ import annotations
 
-import itertools
-import re
-
 import numpy as np
+import pyarrow as pa
 
 from .shared import quiet_tokenizers
 
-# White space for Python's str.split, but none for the tokenizer.
-_NOT_SPACE = re.compile("[\x1c-\x1f]")
-_MARK = "|"
+_MARK = b"|"
+# First bytes of the combining marks that may join an ASCII letter.
+_COMBINING = (b"\xcc", b"\xcd")
 
 
 class WordEncoder:
     """Encodes texts with a vocabulary whose pre-tokenizer never joins two words.
 
-    Such a vocabulary drops white space and splits at it, so the ids of a text are
-    those of its words in turn. Each distinct word is encoded once while it is in
-    the memo, many words in one call. The memo has two generations of at most
-    ``memo`` words each: when the young one is full it becomes the old one, and a
-    word found in the old one moves back. The ids are the tokenizer's own in all
-    cases; texts with characters that count as white space on one side only are
-    encoded as a whole.
+    Such a vocabulary lower-cases, drops white space and splits at it, so the ids of a
+    text are those of its words in turn. Each distinct word is encoded once while it is in the memo, many in one call. The
+    memo has two generations of about ``memo`` words each: when the young one is full it
+    becomes the old one, and a word found in the old one moves back. All ids are the
+    tokenizer's own.
     """
 
-    def __init__(self, path: str, memo: int = 300_000) -> None:
+    def __init__(self, path: str, memo: int = 600_000) -> None:
         quiet_tokenizers()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = memo
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.mark = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
 
-    def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+    def whole(self, text: bytes) -> bytes:
+        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
+    def _encode(self, words: list[bytes]) -> None:
         plain = [w for w in words if _MARK not in w]
-        for w in words:
-            if _MARK in w:
-                self.young[w] = self.whole(w)
+        self.young.update((w, self.whole(w)) for w in words if _MARK in w)
         runs = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        joined = [f" {_MARK} ".join(run) for run in runs]
+        joined = [(b" " + _MARK + b" ").join(run).decode() for run in runs]
         found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
         for run, encoding in zip(runs, found, strict=True):
             ids = np.array(encoding.ids, dtype="<u4")
@@ -59,26 +53,38 @@ class WordEncoder:
                 self.young[w] = raw[4 * start : 4 * end]
                 start = end + 1
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, words: set[bytes]) -> None:
+        """Puts the words into the young generation."""
+        missing = []
+        for w in words:
+            if (ids := self.old.get(w)) is None:
+                missing.append(w)
+            else:
+                self.young[w] = ids
+        if missing:
+            self._encode(missing)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
+        raws = texts.cast(pa.binary()).to_pylist()
         out: list[bytes] = []
-        for i in range(0, len(texts), 64):
-            some = texts[i : i + 64]
-            words = [None if _NOT_SPACE.search(t) else t.split() for t in some]
-            wanted = set(itertools.chain.from_iterable(w for w in words if w))
+        for i in range(0, len(raws), 64):
+            words = [
+                (raw if any(c in raw for c in _COMBINING) else raw.lower()).split()
+                for raw in raws[i : i + 64]
+            ]
             if len(self.young) > self.memo:
                 self.old, self.young = self.young, {}
-            missing = []
-            for w in wanted - self.young.keys():
-                if (ids := self.old.get(w)) is None:
-                    missing.append(w)
-                else:
-                    self.young[w] = ids
+            get = self.young.get
+            found = [list(map(get, ws)) for ws in words]
+            missing: set[bytes] = set()
+            for ws, ids in zip(words, found, strict=True):
+                if None in ids:
+                    missing.update([w for w, x in zip(ws, ids) if x is None])
             if missing:
                 self._learn(missing)
-            get = self.young.__getitem__
-            for text, ws in zip(some, words, strict=True):
-                out.append(self.whole(text) if ws is None else b"".join(map(get, ws)))
+            for ws, ids in zip(words, found, strict=True):
+                out.append(b"".join(map(get, ws) if None in ids else ids))
         return out
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -34,6 +35,9 @@ TEXTS = [
 ]
 
 
+WEIRD = ["a", "B", "h", "H", ".", ",", "#", "'s", "'", "|", " ", "\n", "\u00a0", "\u0331", "\u0301", "É", "7", "Σ", "ς", "İ", "<|endoftext|>", "、", "字", "\x1c", "Ⅷ", "ﬀ"]
+
+
 def ids(text):
     return PLAIN.encode(text or "", add_special_tokens=False).ids
 
@@ -45,14 +49,21 @@ def packed(values):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_words_give_the_ids_of_the_whole_text(text):
-    assert ENCODER.encode([text]) == [packed(ids(text))]
+    assert ENCODER.encode(pa.array([text])) == [packed(ids(text))]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(WEIRD), max_size=12))
+def test_odd_words_give_the_ids_of_the_whole_text(parts):
+    text = "".join(parts)
+    assert ENCODER.encode(pa.array([text])) == [packed(ids(text))]
 
 
 def test_memo_is_bounded_and_exact():
     rng = random.Random(3)
     texts = [" ".join(rng.choice("abcdefgh|é") * rng.randrange(1, 5) + "." for _ in range(40)) for _ in range(400)]
-    assert ENCODER.encode(texts) == [packed(ids(t)) for t in texts]
-    assert len(ENCODER.young) <= 50 + 64 * 40
+    assert ENCODER.encode(pa.array(texts)) == [packed(ids(t)) for t in texts]
+    assert len(ENCODER.young) <= 50 + 3 * 64 * 40
 
 
 def check_bins(counts, capacity):
