@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestrata.session import tune
+from lakestrata.session import tune, work_dir
 
-from . import packing, quality, token_files, toxicity
+from . import packing, quality, token_files, toxicity, warc
+from .line_dedup import dedup_lines
 from .near_dedup import NearDuplicates
+from .oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -25,10 +30,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index = warc.write_archives(pages, work_dir(spark, "warc"))
+    return warc.read_archives(index).select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,11 +70,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
+    "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
-
-ORACLE: dict[str, str] = {}

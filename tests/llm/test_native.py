@@ -1,0 +1,84 @@
+"""Queries of this folder against their SQL, and the dedup's difficult cases."""
+
+import random
+
+import pytest
+
+from lakestrata.llm import line_dedup
+from lakestrata.llm.line_dedup import dedup_lines
+from lakestrata.llm.queries import ORACLE
+from tests.compare import difference, oracle
+
+from .helpers import documents, rows_of
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ORACLE)
+def test_query_matches_sql(spark, name):
+    assert difference(spark, oracle(SF_DIR), name, SF_DIR) is None
+
+
+def no_python(plan):
+    return not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+RNG = random.Random(9)
+
+
+def line(n=6):
+    return " ".join("".join(RNG.choices("abcdefg", k=5)) for _ in range(n))
+
+
+def text_rows(df):
+    return {r["doc_id"]: r["text"] for r in rows_of(df)}
+
+
+def test_a_shared_passage_goes_wherever_it_stands(spark):
+    long = line(60)
+    passage = [line(10) for _ in range(40)]
+    texts = []
+    for i in range(30):
+        before, after = [line() for _ in range(i % 7)], [line() for _ in range(i % 5)]
+        texts.append((i, "\n".join([*before, long, *passage, *after])))
+    got = dedup_lines(documents(spark, texts).repartition(3))
+    assert no_python(got._jdf.queryExecution().executedPlan().toString())
+    rows = text_rows(got)
+    assert rows[0] == texts[0][1]
+    assert sum(long in t for t in rows.values()) == 1
+    inner = passage[12:28]
+    assert all(not any(x in t for x in inner) for i, t in rows.items() if i)
+    for i, t in texts[1:]:
+        own = set(t.split("\n")) - {long, *passage}
+        assert own <= set(rows[i].split("\n"))
+
+
+def test_difficult_rows(spark):
+    long = line(60)
+    several = "\n".join([long, line(50)])
+    texts = [
+        (1, None), (2, ""), (3, "\n\n"), (4, several), (4, several), (None, several), (5, several),
+        (6, "short\n" + several + "\nshort"), (7, "short"), (8, "short"), (9, "x" * 300_000),
+        (10, "x" * 300_000), (11, "\n".join(["y"] * 20_000)), (12, long + "\r\n" + long),
+    ]
+    docs = documents(spark, texts).selectExpr("*", "1 AS chunks", "2 AS version", "3 AS removed")
+    got = dedup_lines(docs)
+    assert got.columns == [*docs.columns, "n_chunks", "removed_chunks", "removed_lines"]
+    rows = rows_of(got)
+    assert len(rows) == len(texts)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[None]["text"] == several and by[4]["text"] == "" and by[5]["text"] == ""
+    assert by[1]["text"] is None and by[2]["text"] == ""
+    assert by[6]["text"] == "short\nshort" and by[7]["text"] == by[8]["text"] == "short"
+    assert len(by[9]["text"]) == 300_000 and by[10]["text"] == ""
+    assert {r["version"] for r in rows} == {2}
+    left = dedup_lines(docs, drop_emptied=True, counts=False)
+    assert left.columns == docs.columns
+    assert {r["doc_id"] for r in rows_of(left)} == {None, 1, 2, 3, 6, 7, 8, 9, 11, 12}
+    assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_equal_hashes_of_different_chunks_stay(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup.F, "xxhash64", lambda *_: line_dedup.F.lit(7))
+    texts = [(1, "a" * 200), (2, "b" * 200), (3, "a" * 200)]
+    assert text_rows(dedup_lines(documents(spark, texts))) == {1: "a" * 200, 2: "b" * 200, 3: ""}
