@@ -6,7 +6,7 @@ a band are candidates, and the collision-corrected share of equal low bits is th
 estimated similarity. Whatever passes is confirmed on full sets.
 
 Nothing grows with the square of a group of copies: exact copies are one node; in a
-bucket only a spanning forest of the likely pairs is kept, which gives clusters of
+bucket only links that join all likely pairs are kept, which gives clusters of
 candidates; within a cluster, blocks of bounded size are compared in tasks that return
 the links that join two components and no others. A large cluster is first compared
 with one of its blocks, and after that only what is outside its largest component is
@@ -104,6 +104,29 @@ def _packed(column: pa.ChunkedArray) -> np.ndarray:
     return np.array([np.frombuffer(s, dtype=np.uint8) for s in column.to_pylist()])
 
 
+class Stars:
+    """Components of what one task has linked, as links to the least node of each."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent.setdefault(up, up)
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        self.parent[max(x, y)] = min(x, y)
+
+    def links(self) -> Iterator[pa.RecordBatch]:
+        nodes = [x for x in list(self.parent) if self.find(x) != x]
+        for i in range(0, len(nodes), 50_000):
+            part = nodes[i : i + 50_000]
+            yield _links(part, [self.find(x) for x in part])
+
+
 class NearDuplicates:
     """Groups of documents linked by ``share[1] * common >= share[0] * union`` shingles."""
 
@@ -146,17 +169,19 @@ class NearDuplicates:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
+                        batch.column("version"),
                         pa.array(keys, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         pa.array(signatures, pa.binary()),
                         pa.array(bucket_keys, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "set_key", "n_shingles", "signature", "buckets"],
+                    ["doc_id", "version", "set_key", "n_shingles", "signature", "buckets"],
                 )
 
         return texts.mapInArrow(
             sketch,
-            "doc_id long, set_key binary, n_shingles long, signature binary, buckets array<long>",
+            "doc_id long, version long, set_key binary, n_shingles long, signature binary, "
+            "buckets array<long>",
         )
 
     def candidate_links(self, nodes: DataFrame) -> DataFrame:
@@ -164,73 +189,68 @@ class NearDuplicates:
 
         In buckets above ``BUCKET_BLOCK`` nodes, all are joined to one of them.
         """
-        keyed = nodes.select("set_key", F.explode("buckets").alias("bucket"))
-        held = keyed.groupBy("bucket").agg(
-            F.count("*").alias("held"), F.min("set_key").alias("hub")
-        )
+        keyed = nodes.select("node", F.explode("buckets").alias("bucket"))
+        held = keyed.groupBy("bucket").agg(F.count("*").alias("held"), F.min("node").alias("hub"))
         members = keyed.join(held.filter("held > 1"), "bucket")
         large = F.col("held") > BUCKET_BLOCK
-        stars = members.filter(large & (F.col("set_key") != F.col("hub"))).select(
-            F.col("set_key").alias("a"), F.col("hub").alias("b")
+        stars = members.filter(large & (F.col("node") != F.col("hub"))).select(
+            F.col("node").alias("a"), F.col("hub").alias("b")
         )
-        small = members.filter(~large).select("bucket", "set_key")
+        small = members.filter(~large).select("bucket", "node")
         least = self.least
 
         def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            a, b = [], []
+            stars = Stars()
             for group in groups(batches, ["bucket"]):
-                keys = group.column("set_key").to_pylist()
-                union = Union(len(keys))
+                nodes = group.column("node").to_pylist()
+                union = Union(len(nodes))
                 for i, j in zip(*_likely_pairs(_packed(group.column("signature")), least)):
                     if union.join(int(i), int(j)):
-                        a.append(keys[i])
-                        b.append(keys[j])
-                if len(a) > 10_000:
-                    yield _links(a, b)
-                    a, b = [], []
-            yield _links(a, b)
+                        stars.join(nodes[i], nodes[j])
+            yield from stars.links()
 
         likely = (
-            small.join(nodes.select("set_key", "signature"), "set_key")
+            small.join(nodes.select("node", "signature"), "node")
             .repartition(shuffle_partitions(nodes.sparkSession), "bucket")
             .sortWithinPartitions("bucket")
-            .mapInArrow(forest, "a binary, b binary")
+            .mapInArrow(forest, LINKS)
         )
         return likely.union(stars).distinct()
 
     def _sets(self, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The full sets of the named nodes, from the texts of their documents."""
         k = self.shingle
-        texts = docs.join(nodes.select("doc_id", "set_key"), "doc_id")
+        texts = docs.join(nodes.select("doc_id", "set_key", "node"), "doc_id")
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, sets = [], []
-                wanted = batch.column("set_key").to_pylist()
-                for key, found in zip(wanted, shingle_sets(batch.column("text"), k)):
+                found_nodes, sets = [], []
+                wanted = zip(batch.column("node").to_pylist(), batch.column("set_key").to_pylist())
+                for (node, key), found in zip(wanted, shingle_sets(batch.column("text"), k)):
                     if key == set_key(found):  # else another text under the same number
-                        keys.append(key)
+                        found_nodes.append(node)
                         sets.append(found.tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["set_key", "set"]
+                    [pa.array(found_nodes, pa.int64()), pa.array(sets, pa.binary())],
+                    ["node", "set"],
                 )
 
-        return texts.mapInArrow(read, "set_key binary, set binary")
+        return texts.mapInArrow(read, "node long, set binary")
 
     def _confirm(self, blocks: DataFrame) -> DataFrame:
         """Confirmed links between different components within each group of rows.
 
-        ``blocks`` has ``group, component, signature, set, set_key``. A group's rows come
-        to one task; their number is bounded by two blocks.
+        ``blocks`` has ``group, component, signature, set, node``. A group's rows come to
+        one task; their number is bounded by two blocks.
         """
         least, (part, whole) = self.least, self.share
 
         def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            a, b = [], []
+            stars = Stars()
             for group in groups(batches, ["group"]):
-                keys = group.column("set_key").to_pylist()
+                nodes = group.column("node").to_pylist()
                 sets = [np.frombuffer(s, dtype=np.uint64) for s in group.column("set").to_pylist()]
-                union, first = Union(len(keys)), {}
+                union, first = Union(len(nodes)), {}
                 for i, component in enumerate(group.column("component").to_pylist()):
                     union.join(first.setdefault(component, i), i)
                 for i, j in zip(*_likely_pairs(_packed(group.column("signature")), least)):
@@ -243,167 +263,193 @@ class NearDuplicates:
                     common = shared(x, y)
                     if whole * common >= part * (len(x) + len(y) - common):
                         union.join(i, j)
-                        a.append(keys[i])
-                        b.append(keys[j])
-            yield _links(a, b)
+                        stars.join(nodes[i], nodes[j])
+            yield from stars.links()
 
         n = shuffle_partitions(blocks.sparkSession)
         return (
-            blocks.repartition(4 * n, "group")
-            .sortWithinPartitions("group")
-            .mapInArrow(confirm, "a binary, b binary")
+            blocks.repartition(2 * n, "group").sortWithinPartitions("group").mapInArrow(confirm, LINKS)
         )
 
     def confirmed(self, docs: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-        """The component of every node that a confirmed link joins to another."""
+        """``node, component`` of every node that a confirmed link joins to another."""
         clusters = components(links)
         sized = clusters.groupBy("component").agg(F.count("*").alias("size"))
-        members = (
+        blocks = F.ceil(F.col("size") / CLUSTER_BLOCK)
+        members = stage(
             clusters.join(sized, "component")
-            .withColumnRenamed("component", "cluster")
-            .join(nodes.select("set_key", "doc_id", "signature"), F.col("node") == F.col("set_key"))
-            .drop("node")
+            .select(
+                F.col("component").alias("cluster"),
+                "node",
+                blocks.alias("blocks"),
+                F.pmod(F.xxhash64("node"), blocks).alias("block"),
+            )
+            .join(nodes.drop("buckets"), "node"),
+            "members",
         )
-        blocks = F.ceil(F.col("size") / CLUSTER_BLOCK)
-        block = F.pmod(F.xxhash64("set_key"), blocks)
-        members = stage(members.withColumn("blocks", blocks).withColumn("block", block), "members")
         sets = stage(self._sets(docs, members), "sets")
-        full = members.join(sets, "set_key")
+        full = members.drop("doc_id", "set_key").join(sets, "node")
+        small = full.filter("blocks = 1").select(
+            F.col("cluster").alias("group"), F.col("node").alias("component"), "signature", "set", "node"
+        )
+        # A small cluster is one group of one task, so these links are its components already.
+        final = stage(self._confirm(small), "links")
+        out = _labels(final)
+        large = full.filter("blocks > 1")
+        if members.filter("blocks > 1").isEmpty():
+            return out
         # The first block meets each of the others, which meet nothing else.
         meets = F.when(
-            (F.col("block") == 0) & (F.col("blocks") > 1),
-            F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1),
+            F.col("block") == 0, F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)
         ).otherwise(F.array("block"))
-        first = full.withColumn("with", F.explode(meets)).select(
+        first = large.withColumn("with", F.explode(meets)).select(
             F.xxhash64("cluster", "with").alias("group"),
-            F.col("set_key").alias("component"),
+            F.col("node").alias("component"),
             "signature",
             "set",
-            "set_key",
+            "node",
         )
         found = stage(self._confirm(first), "links")
-        large = full.filter("blocks > 1")
-        if members.filter("blocks > 1").isEmpty():
-            return components(found)
-        joined = components(found).withColumnRenamed("node", "set_key")
-        labelled = large.join(joined, "set_key", "left").withColumn(
-            "component", F.coalesce("component", "set_key")
+        slim = stage(
+            members.filter("blocks > 1")
+            .select("cluster", "node", "block", "blocks")
+            .join(components(found), "node", "left")
+            .withColumn("component", F.coalesce("component", "node")),
+            "slim",
         )
-        slim = stage(labelled.select("cluster", "set_key", "component", "block", "blocks"), "slim")
         counted = slim.groupBy("cluster", "component").agg(F.count("*").alias("n"))
         main = counted.groupBy("cluster").agg(
             F.max_by("component", F.struct("n", "component")).alias("main"),
             (F.sum("n") - F.max("n")).alias("others"),
         )
-        outside = F.col("component") != F.col("main")
         sides = slim.join(main.filter("others > 0"), "cluster").withColumn(
             "rest_blocks", F.ceil(F.col("others") / CLUSTER_BLOCK)
         )
-        rest = F.pmod(F.xxhash64("set_key", F.lit(1)), F.col("rest_blocks"))
-        as_any = sides.withColumn(
-            "rest", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1))
-        ).withColumn("with", F.col("block"))
+        every = [F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("rest_blocks", "blocks")]
+        as_any = sides.withColumn("rest", F.explode(every[0])).withColumn("with", F.col("block"))
         as_rest = (
-            sides.filter(outside)
-            .withColumn("rest", rest)
-            .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            sides.filter(F.col("component") != F.col("main"))
+            .withColumn("rest", F.pmod(F.xxhash64("node", F.lit(1)), F.col("rest_blocks")))
+            .withColumn("with", F.explode(every[1]))
         )
+        names = ["cluster", "rest", "with", "node", "component"]
         second = (
-            as_any.select("cluster", "rest", "with", "set_key", "component")
-            .union(as_rest.select("cluster", "rest", "with", "set_key", "component"))
-            .join(large.select("set_key", "signature", "set"), "set_key")
-            .select(
-                F.xxhash64("cluster", "rest", "with").alias("group"),
-                "component",
-                "signature",
-                "set",
-                "set_key",
-            )
+            as_any.select(*names)
+            .union(as_rest.select(*names))
+            .join(large.select("node", "signature", "set"), "node")
+            .withColumn("group", F.xxhash64("cluster", "rest", "with"))
+            .select("group", "component", "signature", "set", "node")
         )
-        return components(found.union(stage(self._confirm(second), "links")))
+        return out.union(components(found.union(stage(self._confirm(second), "links"))))
 
     def groups(self, docs: DataFrame) -> DataFrame:
-        """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
+        """The component of each row of ``docs``, and whether the row is its first.
 
-        ``docs`` has ``doc_id`` and ``text``; other columns are not read. Texts without
+        Returns ``doc_id, n_shingles, component_id, kept``. ``docs`` has ``doc_id`` and ``text``; other columns are not read. Texts without
         words (null, empty, white space) have no shingles and are linked with nothing. A
         row without a number is linked with nothing and has no component, and is kept.
         Repeated rows stay repeated; rows that share a number but not a text are compared
         like any others. No rows give no rows.
         """
+        return self._groups(docs).drop("version")
+
+    def _groups(self, docs: DataFrame) -> DataFrame:
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-        sketched = stage(self.sketches(texts), "sketches")
+        versions = texts.withColumn("version", F.xxhash64("text"))
+        sketched = stage(self.sketches(versions), "sketches")
         linked = F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()
         least = F.min_by(F.struct("signature", "buckets"), "doc_id").alias("of")
         nodes = stage(
             sketched.filter(linked)
             .groupBy("set_key")
             .agg(F.min("doc_id").alias("doc_id"), least)
-            .select("set_key", "doc_id", "of.*"),
+            .select(F.monotonically_increasing_id().alias("node"), "set_key", "doc_id", "of.*"),
             "nodes",
         )
         links = stage(self.candidate_links(nodes), "links")
-        members = nodes.select("set_key", "doc_id")
-        if not links.isEmpty():
-            found = self.confirmed(texts, nodes, links).withColumnRenamed("node", "set_key")
-            members = members.join(found, "set_key", "left").withColumn(
-                "component", F.coalesce("component", "set_key")
+        members = nodes.select("node", "set_key", "doc_id")
+        if links.isEmpty():
+            members = members.withColumnRenamed("doc_id", "component_id")
+        else:
+            members = members.join(self.confirmed(texts, nodes, links), "node", "left").withColumn(
+                "component", F.coalesce("component", "node")
             )
             smallest = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-            members = members.join(smallest, "component").select("set_key", "component_id")
-        else:
-            members = members.withColumnRenamed("doc_id", "component_id")
-        slim = sketched.select("doc_id", "n_shingles", "set_key")
-        found = slim.filter(linked).join(members, "set_key").select(
-            "doc_id", "n_shingles", "component_id"
-        )
-        alone = slim.filter(~linked).select(
-            "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
-        )
+            members = members.join(smallest, "component")
+        members = members.select("set_key", "component_id")
+        slim = sketched.select("doc_id", "version", "n_shingles", "set_key")
+        names = ["doc_id", "version", "n_shingles", "component_id"]
+        found = slim.filter(linked).join(members, "set_key").select(*names)
+        alone = slim.filter(~linked).withColumn("component_id", F.col("doc_id")).select(*names)
         return found.union(alone).withColumn(
             "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
         )
 
 
-def _links(a: list[bytes], b: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+    def keep_one(self, docs: DataFrame) -> DataFrame:
+        """The rows of ``docs`` that are the first of their group, with all their columns.
+
+        Of rows that share number and text one stays. Rows without a number or without
+        words all stay.
+        """
+        found = stage(self._groups(docs).filter("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
+        rows = docs.select(
+            F.struct("*").alias("row"),
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.xxhash64(text_of()).alias("version"),
+        )
+        keys = ["doc_id", "version"]
+        left = rows.join(found.filter("NOT kept").select(*keys).distinct(), keys, "left_anti")
+        again = stage(
+            found.filter("kept").groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1"), "again"
+        )
+        if not again.isEmpty():
+            once = left.join(again.select(*keys), keys, "left_semi").dropDuplicates(keys)
+            left = left.join(again.select(*keys), keys, "left_anti").unionByName(once)
+        return left.select("row.*")
+
+
+LINKS = "a long, b long"
+
+
+def _links(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _labels(stars: DataFrame) -> DataFrame:
+    """``node, component`` from links that lead to the least node of each component."""
+    least = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).union(least)
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` of all nodes with links; a component is named by its least node.
 
     Rounds of large and small stars: each node passes its least neighbour to its larger
-    neighbours, then to its smaller ones, until no link changes.
+    neighbours, then to its smaller ones, until every node has one link, to a node that
+    has none of its own.
     """
 
-    def star(edges: DataFrame, small: bool) -> DataFrame:
-        own, other = F.col("u"), F.col("v")
-        near = edges.filter(other < own) if small else edges
-        least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        joined = near.join(least, "u")
-        if small:
-            passed = joined.select(other.alias("u"), F.col("m").alias("v")).union(
+    def passed(edges: DataFrame, to_larger: bool) -> DataFrame:
+        least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        joined = edges.join(least, "u")
+        if to_larger:
+            out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        else:
+            out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
                 least.select("u", F.col("m").alias("v"))
             )
-        else:
-            passed = joined.filter(other > own).select(other.alias("u"), F.col("m").alias("v"))
-        return passed.filter("u <> v").distinct()
-
-    def both_ways(edges: DataFrame) -> DataFrame:
-        return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-
-    named: Column = F.greatest("a", "b").alias("u")
-    edges = stage(links.filter("a <> b").select(named, F.least("a", "b").alias("v")).distinct())
-    before = state(edges)
-    while before[0]:
-        large = star(both_ways(edges), small=False)
-        edges = stage(star(large, small=True), "stars")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
-    nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        return out.filter("u <> v").distinct()
+
+    def done(edges: DataFrame) -> bool:
+        several = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")
+        inner = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+        return several.union(inner.select("u")).isEmpty()
+
+    edges = stage(
+        links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    )
+    while not done(edges):
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        edges = stage(passed(passed(both, to_larger=True), to_larger=False), "stars")
+    return _labels(edges.select(F.col("u").alias("a"), F.col("v").alias("b")))

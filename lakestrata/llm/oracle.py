@@ -67,3 +67,57 @@ SELECT
     CAST(coalesce(sum(lines) FILTER (goes), 0) AS INT) AS removed_lines
 FROM placed GROUP BY doc_id
 """
+
+ORACLE["op6_decontamination"] = """
+WITH unit AS (
+    SELECT 0 AS kind, doc_id AS id, text FROM documents
+    UNION ALL SELECT 1, item_id, text FROM benchmark
+), word AS (
+    SELECT kind, id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[a-z0-9\\x{80}-\\x{10FFFF}]+') AS words
+    FROM unit
+), shingle AS (
+    SELECT DISTINCT kind, id, words[i : i + 4] AS shingle
+    FROM (SELECT *, unnest(range(1, len(words) - 3)) AS i FROM word WHERE len(words) >= 5)
+), size AS (
+    SELECT id AS item_id, count(*) AS n_shingles FROM shingle WHERE kind = 1 GROUP BY id
+), shared AS (
+    SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared
+    FROM shingle d JOIN shingle b USING (shingle) WHERE d.kind = 0 AND b.kind = 1
+    GROUP BY ALL
+)
+SELECT doc_id, item_id, n_shingles, shared, shared / n_shingles AS containment
+FROM shared JOIN size USING (item_id)
+WHERE shared >= 0.8 * n_shingles
+"""
+
+ORACLE["op9_minhash_near_dedup"] = """
+WITH RECURSIVE word AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, words[i : i + 2] AS shingle
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM word WHERE len(words) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingle a JOIN shingle b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY ALL
+), link AS (
+    SELECT a, b FROM shared
+    JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+    WHERE 100 * common >= 85 * (x.n + y.n - common)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM word
+    UNION
+    SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+), component AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM component LEFT JOIN size USING (doc_id)
+"""

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from lakestrata.session import tune, work_dir
 
 from . import packing, quality, token_files, toxicity, warc
+from .decontaminate import find_leaks
+from .fingerprints import fingerprints
+from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
 from .near_dedup import NearDuplicates
 from .oracle import ORACLE
@@ -55,10 +58,22 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), 4096, end_id=1)
 
 
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(shingle=3, share=(85, 100)).groups(table(spark, sf_dir, "documents"))
 
@@ -74,7 +89,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_license_scan": op5_license_scan,
+    "op6_decontamination": op6_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_spot_signatures": op8_spot_signatures,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }

@@ -14,8 +14,11 @@ import numpy as np
 import pyarrow as pa
 
 _RUN = 1 << 21
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACES = np.zeros(256, dtype=bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
+# White space and all other ASCII characters but letters and digits.
+MARKS = np.ones(256, dtype=bool)
+MARKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -55,15 +58,17 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(document, start, end): documents, long ones cut at white space."""
+def _segments(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray
+) -> Iterator[tuple[int, int, int]]:
+    """(document, start, end): documents, long ones cut between words."""
     for doc, (start, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         while end - start > _RUN:
-            spaces = np.flatnonzero(_SPACE[data[start : start + _RUN]])
+            spaces = np.flatnonzero(separators[data[start : start + _RUN]])
             if len(spaces):
                 cut = start + int(spaces[-1]) + 1
             else:
-                later = np.flatnonzero(_SPACE[data[start + _RUN : end]])
+                later = np.flatnonzero(separators[data[start + _RUN : end]])
                 cut = start + _RUN + int(later[0]) + 1 if len(later) else end
             yield doc, start, cut
             start = cut
@@ -71,10 +76,12 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int,
             yield doc, start, end
 
 
-def _hash_run(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_run(
+    data: np.ndarray, firsts: np.ndarray, separators: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a run of bytes and their starts; no word crosses ``firsts``."""
     data = _LOWER[data]
-    word = ~_SPACE[data]
+    word = ~separators[data]
     before = np.empty_like(word)
     before[0], before[1:] = False, word[:-1]
     before[firsts] = False
@@ -90,7 +97,9 @@ def _hash_run(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(h + (ends - starts).astype(np.uint64)), starts
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    texts: pa.Array, separators: np.ndarray = SPACES
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text the index of its first word."""
     n = len(texts)
     texts = texts.cast(pa.large_string())
@@ -106,13 +115,13 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     def flush() -> None:
         base = run[0][1]
         firsts = np.array([s - base for _, s, _ in run], dtype=np.int64)
-        h, starts = _hash_run(data[base : run[-1][2]], firsts)
+        h, starts = _hash_run(data[base : run[-1][2]], firsts, separators)
         owner = np.searchsorted(firsts, starts, side="right") - 1
         np.add.at(counts, np.array([d for d, _, _ in run])[owner], 1)
         hashes.append(h)
         run.clear()
 
-    for segment in _segments(data, offsets):
+    for segment in _segments(data, offsets, separators):
         if run and segment[2] - run[0][1] > _RUN:
             flush()
         run.append(segment)
@@ -123,26 +132,27 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), index
 
 
+def runs_of(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words; ``k`` is part of the hash."""
+    rolled = np.full(max(len(words) - k + 1, 0), np.uint64(k) * np.uint64(_BASE % (1 << 60)))
+    for i in range(k):
+        rolled += words[i : i + len(rolled)] * np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64))
+    return mix(rolled)
+
+
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles of ``k`` words.
 
     A text with fewer words has one shingle, all its words; one without words has none.
     """
     words, index = word_hashes(texts)
-    factors = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64)) for i in range(k)]
-    rolled = np.zeros(max(len(words) - k + 1, 0), dtype=np.uint64)
-    for i, f in enumerate(factors):
-        rolled += words[i : i + len(rolled)] * f
-    rolled = mix(rolled)
+    rolled = runs_of(words, k)
     for start, end in zip(index[:-1].tolist(), index[1:].tolist()):
         n = end - start
         if n >= k:
             yield np.unique(rolled[start : end - k + 1])
         elif n:
-            short = np.uint64(n) * np.uint64(_BASE)
-            for w, f in zip(words[start:end], factors):
-                short += w * f
-            yield mix(np.array([short], dtype=np.uint64))
+            yield runs_of(words[start:end], n)
         else:
             yield np.empty(0, dtype=np.uint64)
 
