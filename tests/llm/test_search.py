@@ -166,7 +166,7 @@ def test_edited_texts_and_likeness(spark):
         assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         assert (r["near_edited"] == 1) == (r["fingerprint"] == r["edited_fingerprint"])
-        if len(text) > 300 and doc < 200:
+        if len(text) > 900 and doc < 200:
             assert 0.2 < r["near_edited"] < 0.9 and r["near_next"] < 0.2
     assert by[204]["fingerprint"] == by[-9]["fingerprint"] == by[9]["fingerprint"]
     assert by[206]["fingerprint"] == by[12]["fingerprint"]
