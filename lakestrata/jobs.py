@@ -1,4 +1,4 @@
-"""Entry point for spark-submit: ``lakestrata/jobs.py <job> --source .. --target ..``."""
+"""The jobs of the lake: ``lake_jobs.py <job> --source .. --target ..`` for spark-submit."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from lakestrata import plans, schemas
-from lakestrata.session import tune
+from lakestrata.session import job_folder, tune
 from lakestrata.sources import read_parquet
 
 RENAMES = {"movies": schemas.MOVIE_RENAMES, "series": schemas.SERIES_RENAMES}
@@ -26,30 +26,42 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     land = job("land")
     land.add_argument("--run-date", type=date.fromisoformat, required=True)
+    land.add_argument("--multi-line", action="store_true", help="values with line breaks")
     enrich = job("enrich", "--lookups")
     enrich.add_argument("--run-date", type=date.fromisoformat, required=True)
     enrich.add_argument("--landed-on", type=date.fromisoformat)
     enrich.add_argument("--artist")
     enrich.add_argument("--chunk-size", type=int, default=schemas.CHUNK_SIZE)
     enrich.add_argument("--order-by", help="number the chunks in this order, as JSON arrays")
+    enrich.add_argument("--multi-line", action="store_true")
     local = job("trusted-local", "--table")
+    local.add_argument("--multi-line", action="store_true")
     local.add_argument("--kind", choices=RENAMES, required=True)
     local.add_argument("--artist")
     documents = job("trusted-documents", "--table")
-    documents.add_argument("--lines", action="store_true", help="one document per line")
+    documents.add_argument("--arrays", action="store_true", help="files of one JSON array each")
+    documents.add_argument("--quarantine", help="folder for lines that are no documents")
     job("refined-series")
     movies = job("refined-movies", "--batches")
+    movies.add_argument(
+        "--documents", action="store_true", help="the batches are landed documents, not tables"
+    )
     movies.add_argument("--origin-per-batch", action="store_true")
     movies.add_argument("--keep-unmatched", action="store_true")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
-    a = _arguments(argv)
-    tune(spark)
+    """Runs one job. What it has staged is gone when it ends or fails."""
+    arguments = _arguments(argv)
+    with job_folder(tune(spark)):
+        _run(spark, arguments)
+
+
+def _run(spark: SparkSession, a: argparse.Namespace) -> None:
     match a.job:
         case "land":
-            plans.run_landing(spark, a.source, a.target, a.run_date)
+            plans.run_landing(spark, a.source, a.target, a.run_date, a.multi_line)
         case "enrich":
             plans.run_enrichment(
                 spark,
@@ -61,11 +73,17 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
                 a.landed_on,
                 a.chunk_size,
                 a.order_by,
+                a.multi_line,
             )
         case "trusted-local":
-            plans.run_local(spark, a.source, a.target, RENAMES[a.kind], a.artist, a.table)
+            renames = RENAMES[a.kind]
+            plans.run_local(
+                spark, a.source, a.target, renames, a.artist, a.table, multi_line=a.multi_line
+            )
         case "trusted-documents":
-            plans.run_documents(spark, a.source, a.target, a.table, arrays=not a.lines)
+            plans.run_documents(
+                spark, a.source, a.target, a.table, a.arrays, quarantine=a.quarantine
+            )
         case "refined-series":
             plans.run_series(spark, a.source, a.target)
         case "refined-movies":
@@ -76,8 +94,11 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
                 a.target,
                 a.origin_per_batch,
                 a.keep_unmatched,
+                documents=a.documents,
             )
 
 
-if __name__ == "__main__":
-    run(SparkSession.builder.getOrCreate())
+def main(argv: list[str] | None = None) -> None:
+    """Checks the arguments, then starts a session whose catalog outlives the job."""
+    _arguments(argv)
+    run(SparkSession.builder.enableHiveSupport().getOrCreate(), argv)

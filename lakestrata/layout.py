@@ -5,7 +5,14 @@ from __future__ import annotations
 from datetime import date
 
 # A header row; a quote inside a quoted field is doubled.
-DELIMITED = {"header": "true", "quote": '"', "escape": '"'}
+# Blanks at the ends of a value belong to it.
+DELIMITED = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 # An unquoted empty field is null and a quoted one is empty text, on both sides.
 # Spark takes both for null while its null marker is empty text; no field holds NUL.

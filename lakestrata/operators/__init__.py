@@ -20,6 +20,7 @@ from lakestrata.operators.merge import (
     known_pairs,
     union_batches,
     values_by_batch,
+    values_of_batches,
 )
 from lakestrata.operators.shape import (
     canonicalise,
@@ -63,5 +64,7 @@ __all__ = [
     "unknown_keys",
     "unnest_lists",
     "values_by_batch",
+    "values_of_batches",
+    "values_of_batches",
     "with_schema_key",
 ]

@@ -35,8 +35,12 @@ def count_keys(keys: DataFrame, key: str, copies: str = "copies") -> DataFrame:
 
 
 def unknown_keys(keys: DataFrame, documents: DataFrame, key: str) -> DataFrame:
-    """The keys without any document."""
-    return keys.join(documents, key, "left_anti")
+    """The keys without any document.
+
+    Each key of the documents meets the keys once: a key with very many documents would
+    otherwise keep one task busy, as only the left side of an anti join can be cut.
+    """
+    return keys.join(documents.select(key).distinct(), key, "left_anti")
 
 
 def _is_hit(status: str, payload: str, ok: int) -> Column:

@@ -58,10 +58,24 @@ def values_by_batch(
     """Per key, the combinations of the values it has in each batch, one column per batch.
 
     A key with k1, k2, .. distinct values (null is one) gives k1 * k2 * .. rows;
-    a batch without the key gives null. Works on one row per key, value and
-    batch, however often the keys occur.
+    a batch without the key gives null. All batches are read once and meet in one
+    aggregate by key, whose sets are merged before the shuffle; a key's distinct values
+    of a batch have to fit into a row, as their combinations are rows of the result.
     """
-    seen = [b.select(key, value).filter(F.col(key).isNotNull()).distinct() for b in batches]
-    keys = union_batches([s.select(key) for s in seen]).distinct()
-    named = [s.withColumnRenamed(value, name) for s, name in zip(seen, names, strict=True)]
-    return reduce(lambda left, right: left.join(right, key, "left"), named, keys)
+    numbered = [b.select(F.lit(i).alias("_batch"), key, value) for i, b in enumerate(batches)]
+    return values_of_batches(union_batches(numbered), "_batch", key, value, names)
+
+
+def values_of_batches(
+    df: DataFrame, batch: str, key: str, value: str, names: Sequence[str]
+) -> DataFrame:
+    """``values_by_batch`` for rows that carry the number of their batch, from 0."""
+    sets = [
+        F.collect_set(F.when(F.col(batch) == i, F.struct(F.col(value).alias("v")))).alias(name)
+        for i, name in enumerate(names)
+    ]
+    out = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*sets)
+    for name in names:
+        rest = [c for c in out.columns if c != name]
+        out = out.select(*rest, F.explode_outer(name).alias(name))
+    return out.select(key, *[F.col(name)["v"].alias(name) for name in names])

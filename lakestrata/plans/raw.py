@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lakestrata.layout import day_path
 from lakestrata.operators import enrich_counted, found, keep_equal, project_key, with_schema_key
-from lakestrata.schemas import CHUNK_SIZE, file_schema
+from lakestrata.schemas import CHUNK_SIZE, check_contract, file_schema
 from lakestrata.session import tune
 from lakestrata.sinks import land_by_date, land_chunks
 from lakestrata.sources import read_delimited, read_landed_day
@@ -18,9 +19,22 @@ from lakestrata.sources import read_delimited, read_landed_day
 KEY, ARTIST = "id", "nomeArtista"
 
 
-def run_landing(spark: SparkSession, source: str, target: str, run_date: date) -> None:
+# What a looked-up key has to bring; the key has the type of the local file's.
+LOOKUPS = T.StructType(
+    [
+        T.StructField(KEY, T.StringType()),
+        T.StructField("status", T.IntegerType()),
+        T.StructField("payload", T.StringType()),
+    ]
+)
+
+
+def run_landing(
+    spark: SparkSession, source: str, target: str, run_date: date, multi_line: bool = False
+) -> None:
     """Copy a delimited dataset, whatever its columns, into the folder of the run date."""
-    land_by_date(read_delimited(spark, source), target, run_date)
+    rows = read_delimited(spark, source, multi_line=multi_line)
+    land_by_date(rows, target, run_date, multi_line=multi_line)
 
 
 def enriched_rows(
@@ -50,6 +64,7 @@ def run_enrichment(
     landed_on: date | None = None,
     size: int = CHUNK_SIZE,
     order_by: str | None = None,
+    multi_line: bool = False,
 ) -> str:
     """Land the documents of the keys of a landed file; return the folder.
 
@@ -58,9 +73,13 @@ def run_enrichment(
     """
     tune(spark)
     local = read_landed_day(
-        spark, local_path, landed_on or run_date, file_schema([KEY, ARTIST])
+        spark,
+        local_path,
+        landed_on or run_date,
+        file_schema([KEY, ARTIST]),
+        multi_line=multi_line,
     )
     path = day_path(target, run_date)
-    rows = enriched_rows(local, lookups, artist)
+    rows = enriched_rows(local, check_contract(lookups, LOOKUPS), artist)
     land_chunks(rows, path, size=size, order_by=order_by, copies="copies")
     return path

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lakestrata.operators import (
     canonicalise,
@@ -23,8 +24,16 @@ from lakestrata.schemas import (
     TRUSTED_DATABASE,
     file_schema,
 )
+from lakestrata.session import replaced_folder
 from lakestrata.sinks import save_table
-from lakestrata.sources import read_delimited, read_document_arrays, read_document_lines
+from lakestrata.sources import (
+    document_fields,
+    read_delimited,
+    read_document_arrays,
+    read_document_lines,
+    split_bad_lines,
+    with_fields,
+)
 
 
 def trusted_local_rows(
@@ -64,8 +73,10 @@ def run_local(
     artist: str | None,
     table: str,
     database: str = TRUSTED_DATABASE,
+    multi_line: bool = False,
 ) -> str:
-    raw = read_delimited(spark, source, contract=file_schema([*renames, *LOCAL_UNUSED]))
+    contract = file_schema([*renames, *LOCAL_UNUSED])
+    raw = read_delimited(spark, source, contract=contract, multi_line=multi_line)
     return save_table(trusted_local_rows(raw, renames, artist), database, table, target)
 
 
@@ -74,9 +85,26 @@ def run_documents(
     source: str,
     target: str,
     table: str,
-    arrays: bool = True,
+    arrays: bool = False,
     database: str = TRUSTED_DATABASE,
+    schema: T.StructType | None = None,
+    quarantine: str | None = None,
 ) -> str:
-    """One batch of documents. ``arrays``: files are JSON arrays, else one object per line."""
-    read = read_document_arrays if arrays else read_document_lines
-    return save_table(trusted_document_rows(read(spark, source, DOCUMENT)), database, table, target)
+    """One batch of documents: one object per line, as they land, or files of JSON ``arrays``.
+
+    All fields are kept. Those that ``DOCUMENT`` does not declare are JSON text; to find
+    their names the documents are read once more, unless a ``schema`` says what to read.
+    A record that is no document ends the job; with ``quarantine`` such lines are written
+    to that folder, with the name of their file, and the others go on.
+    """
+    if quarantine and arrays:
+        raise ValueError("quarantine takes lines; a file that is no array is always an error")
+    if schema is None:
+        schema = with_fields(DOCUMENT, document_fields(spark, source, arrays))
+    if quarantine:
+        rows, bad = split_bad_lines(spark, source, schema)
+        with replaced_folder(spark, quarantine) as folder:
+            bad.write.parquet(folder)
+    else:
+        rows = (read_document_arrays if arrays else read_document_lines)(spark, source, schema)
+    return save_table(trusted_document_rows(rows), database, table, target)

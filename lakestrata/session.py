@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,17 +35,87 @@ def tune(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder path that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local-mode session that names
-    no such folder gets a temporary one; on a cluster that is an error.
+    It lies under ``spark.checkpoint.dir``, which the cluster sets to a folder that all
+    its machines share. Only a session in local mode that names no such folder gets a
+    temporary one; elsewhere that is an error. Within ``job_folder`` the path lies in
+    the job's folder.
     """
+    job = spark.conf.get(_JOB_FOLDER, None)
+    return f"{job or _base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_JOB_FOLDER = "spark.lakestrata.job.folder"
+
+
+def _base(spark: SparkSession) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="lakestrata-")
         context.setCheckpointDir(base)
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is staged in this block; it goes when the block ends or fails.
+
+    The block has to finish its writes; a result that is still to be computed may need
+    what has been staged.
+    """
+    outer = spark.conf.get(_JOB_FOLDER, None)
+    folder = f"{outer or _base(spark)}/job-{uuid.uuid4().hex}"
+    spark.conf.set(_JOB_FOLDER, folder)
+    try:
+        yield folder
+    finally:
+        if outer is None:
+            spark.conf.unset(_JOB_FOLDER)
+        else:
+            spark.conf.set(_JOB_FOLDER, outer)
+        remove_folder(spark, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+@contextmanager
+def replaced_folder(spark: SparkSession, path: str) -> Iterator[str]:
+    """A new folder beside ``path`` to write to; it takes the place of ``path`` at the end.
+
+    If the block fails, ``path`` stays as it is. A write that reads ``path`` is safe too.
+    """
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex
+    parent, _, name = path.rpartition("/")
+    # Readers skip names that begin with an underscore.
+    fresh, old = (f"{parent}/_{name}-{kind}-{mark}" for kind in ("new", "old"))
+    try:
+        yield fresh
+    except BaseException:
+        remove_folder(spark, fresh)
+        raise
+    system, place = _file_system(spark, path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    had = system.exists(place)
+    if had and not system.rename(place, at(old)):
+        raise OSError(f"cannot move {path} aside")
+    system.mkdirs(place.getParent())
+    if not system.rename(at(fresh), place):
+        if had:
+            system.rename(at(old), place)
+        raise OSError(f"cannot put the new data at {path}")
+    if had:
+        system.delete(at(old), True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

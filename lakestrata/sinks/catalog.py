@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from lakestrata.session import tune
+from lakestrata.session import replaced_folder, tune
 
 
 def save_table(
@@ -16,18 +16,28 @@ def save_table(
 ) -> str:
     """Write Parquet to ``path`` and register it as ``database.table``; return that name.
 
-    A second run replaces data and catalog columns. Files are as many as the
-    last stage has tasks; ``rebalance`` adds a shuffle that evens them out.
+    A second run replaces data and catalog columns, once all its data is written: a run
+    that fails leaves data and table as they were. Files are as many as the last stage
+    has tasks; ``rebalance`` adds a shuffle that evens them out.
     """
     spark = tune(df.sparkSession)
     name = f"`{database}`.`{table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     if rebalance:
         df = df.hint("rebalance", *(partition_by or []))
-    writer = df.write.format("parquet").mode("overwrite").option("path", path)
+    writer = df.write
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    with replaced_folder(spark, path) as folder:
+        writer.parquet(folder)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    columns = df._jdf.schema().toDDL()
+    place = str(path).replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{place}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
     return name

@@ -15,24 +15,56 @@ from lakestrata.operators.grouping import (
     split_copies,
 )
 from lakestrata.schemas import CHUNK_SIZE
-from lakestrata.session import tune
+from lakestrata.session import replaced_folder, tune
+
+
+def _one_line_each(df: DataFrame) -> DataFrame:
+    """The same rows; a text with a line break ends the job with an error that names its column."""
+    checked = {}
+    for field in df.schema.fields:
+        if field.dataType.typeName() == "string":
+            value = F.col(f"`{field.name}`")
+            broken = value.contains("\n") | value.contains("\r")
+            error = F.raise_error(F.lit(f"line break in {field.name}: land it with multi_line"))
+            checked[field.name] = F.when(broken, error.cast("string")).otherwise(value)
+    return df.withColumns(checked) if checked else df
 
 
 def land_by_date(
-    df: DataFrame, path: str, when: date | Column, file_format: str = "csv", sep: str = "|"
+    df: DataFrame,
+    path: str,
+    when: date | Column,
+    file_format: str = "csv",
+    sep: str = "|",
+    multi_line: bool = False,
 ) -> None:
     """Write under ``year=/month=/day=``, replacing the days written and no others.
 
     With a run date all rows go to that day, without a shuffle. With a column
     each row goes to its own day; rows are brought together by day first, which
     keeps the files few, and adaptive execution cuts a day that is too large.
+    A run that fails leaves the days as they were.
+
+    Delimited values come back as they are. Values with line breaks need ``multi_line``
+    here and in the reader, which then cannot split files; without it they are
+    refused. So is a null in the only column of a frame.
     """
-    tune(df.sparkSession)
-    options = {**DELIMITED, "sep": sep} if file_format == "csv" else {}
+    spark = tune(df.sparkSession)
+    options = {}
+    if file_format == "csv":
+        options = {**DELIMITED, "sep": sep}
+        if len(df.columns) == 1:
+            # A blank line would be no row, and a lone null has no other form.
+            options["quoteAll"] = "true"
+            (name,) = df.columns
+            alone = F.raise_error(F.lit(f"a null in {name}, the only column, would be lost"))
+            value = F.col(f"`{name}`")
+            df = df.select(F.when(value.isNotNull(), value).otherwise(alone).alias(name))
+        if not multi_line:
+            df = _one_line_each(df)
     if isinstance(when, date):
-        df.write.format(file_format).options(**options).mode("overwrite").save(
-            day_path(path, when)
-        )
+        with replaced_folder(spark, day_path(path, when)) as folder:
+            df.write.format(file_format).options(**options).save(folder)
         return
     parts = date_parts(when)
     (
@@ -68,9 +100,10 @@ def land_chunks(
 
     With ``order_by`` chunks are numbered from 1 in that order, and each is a
     JSON array in a folder ``chunk=<number>``. This costs a range shuffle and
-    one folder per chunk: for a moderate number of documents.
+    one folder per chunk: for a moderate number of documents. A run that fails
+    leaves the documents as they were.
     """
-    tune(df.sparkSession)
+    spark = tune(df.sparkSession)
     keyed = df.withColumn("schema_id", F.md5(F.coalesce(group, F.lit(""))))
     if order_by is None:
         # Outside of strings a line break means nothing in JSON, inside it is escaped.
@@ -89,4 +122,5 @@ def land_chunks(
             chunks = chunk_within(keyed, "schema_id", order_by, size)
         arrays = encode_chunks(chunks, "schema_id", payload, copies).drop("records")
         writer = arrays.write.partitionBy("schema_id", "chunk")
-    writer.mode("overwrite").text(path)
+    with replaced_folder(spark, path) as folder:
+        writer.text(folder)

@@ -1,10 +1,18 @@
 """Readers. Each takes the session, a path or table name, and an explicit schema."""
 
 from lakestrata.sources.delimited import read_delimited, read_landed, read_landed_day
-from lakestrata.sources.documents import read_document_arrays, read_document_lines, read_objects
+from lakestrata.sources.documents import (
+    document_fields,
+    read_document_arrays,
+    read_document_lines,
+    read_objects,
+    split_bad_lines,
+    with_fields,
+)
 from lakestrata.sources.tables import read_parquet, read_table
 
 __all__ = [
+    "document_fields",
     "read_delimited",
     "read_document_arrays",
     "read_document_lines",
@@ -13,4 +21,6 @@ __all__ = [
     "read_objects",
     "read_parquet",
     "read_table",
+    "split_bad_lines",
+    "with_fields",
 ]

@@ -19,6 +19,7 @@ def read_delimited(
     sep: str = "|",
     mode: str = "FAILFAST",
     dated_directories: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited text with a header row.
 
@@ -27,9 +28,11 @@ def read_delimited(
     that must be there, in any position. Either way no value is inspected.
 
     ``dated_directories`` walks plain ``yyyy/mm/dd`` directories below ``path``
-    and adds the date as ``year``, ``month`` and ``day``.
+    and adds the date as ``year``, ``month`` and ``day``. ``multi_line`` reads values with
+    line breaks; files are then not split.
     """
     reader = spark.read.options(**DELIMITED_READ, sep=sep, mode=mode, enforceSchema="false")
+    reader = reader.option("multiLine", str(multi_line).lower())
     if schema is not None:
         reader = reader.schema(schema)
     if dated_directories:
@@ -46,12 +49,20 @@ def read_landed_day(
     run_date: date,
     contract: T.StructType | None = None,
     sep: str = "|",
+    multi_line: bool = False,
 ) -> DataFrame:
     """One day of a dataset written by ``sinks.land_by_date``; no other day is looked at."""
-    return read_delimited(spark, day_path(path, run_date), contract=contract, sep=sep)
+    day = day_path(path, run_date)
+    return read_delimited(spark, day, contract=contract, sep=sep, multi_line=multi_line)
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> DataFrame:
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    sep: str = "|",
+    multi_line: bool = False,
+) -> DataFrame:
     """All days, with their ``year``, ``month`` and ``day`` as text.
 
     A filter on these columns is a partition filter: other days are not read.
@@ -59,4 +70,5 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, sep: str =
     dated = T.StructType(
         schema.fields + [T.StructField(name, T.StringType()) for name in DATE_PARTS]
     )
-    return spark.read.schema(dated).options(**DELIMITED_READ, sep=sep, mode="FAILFAST").csv(path)
+    reader = spark.read.schema(dated).options(**DELIMITED_READ, sep=sep, mode="FAILFAST")
+    return reader.option("multiLine", str(multi_line).lower()).csv(path)

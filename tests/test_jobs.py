@@ -38,7 +38,7 @@ def test_lake_from_the_command_line(spark):
     for kind in ("movies", "series"):
         run("trusted-local", f"raw/{kind}/{day}", f"trusted/{kind}", "--kind", kind,
             "--artist", ARTIST, "--table", f"trusted_local_{kind}")
-    run("trusted-documents", "raw/docs/year=2023/month=11/day=07", "trusted/docs", "--lines",
+    run("trusted-documents", "raw/docs/year=2023/month=11/day=07", "trusted/docs",
         "--table", "trusted_api_movies_1")
     run("refined-series", "trusted/series", "refined/series")
     run("refined-movies", "trusted/movies", "refined/movies", "--batches", f"{base}/trusted/docs")

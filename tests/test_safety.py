@@ -1,0 +1,173 @@
+"""Nothing is lost: failed writes, readers of the wrong form, odd values, bad records."""
+
+import os
+import subprocess
+import sys
+from datetime import date
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata import jobs, plans, schemas, sinks, sources
+from lakestrata.layout import day_path
+from lakestrata.operators import with_schema_key
+from lakestrata.session import job_folder, stage, work_dir
+
+DAY = date(2023, 11, 6)
+REPO = Path(__file__).resolve().parents[1]
+
+
+def broken(df):
+    """The rows, until a task comes to the last of them."""
+    last = F.raise_error(F.lit("stop")).cast("string")
+    return df.withColumn("v", F.when(F.col("v") == "9", last).otherwise(F.col("v")))
+
+
+def rows(spark):
+    return spark.range(0, 10, 1, 3).select(F.col("id").cast("string").alias("v"), F.lit("x").alias("w"))
+
+
+def read_all(spark, path):
+    return sorted(r[0] for r in spark.read.option("recursiveFileLookup", "true").text(path).collect())
+
+
+def test_a_failed_table_write_leaves_the_old_table(spark):
+    path = work_dir(spark, "table")
+    name = sinks.save_table(rows(spark), "safe_db", "kept", path)
+    with pytest.raises(Exception, match="stop"):
+        sinks.save_table(broken(rows(spark)), "safe_db", "kept", path)
+    assert spark.table(name).count() == 10 == spark.read.parquet(path).count()
+    other = rows(spark).withColumnRenamed("w", "z").limit(4)
+    sinks.save_table(other, "safe_db", "kept", path, partition_by=["z"])
+    assert spark.table(name).columns == ["v", "z"] and spark.table(name).count() == 4
+    sinks.save_table(spark.table(name).filter("v < 2"), "safe_db", "kept", path)
+    assert spark.table(name).count() == 2
+    folder = path.removeprefix("file://").rpartition("/")
+    assert [x for x in os.listdir(folder[0]) if folder[2] in x] == [folder[2]]
+
+
+def test_a_failed_landing_leaves_the_old_day_and_documents(spark):
+    path = work_dir(spark, "day")
+    sinks.land_by_date(rows(spark), path, DAY)
+    before = read_all(spark, path)
+    with pytest.raises(Exception, match="stop"):
+        sinks.land_by_date(broken(rows(spark)), path, DAY)
+    with pytest.raises(Exception, match="stop"):
+        sinks.land_by_date(broken(rows(spark)), path, F.lit(DAY))
+    assert read_all(spark, path) == before
+    docs = work_dir(spark, "docs")
+    payloads = rows(spark).select("v", F.to_json(F.struct("v")).alias("payload"))
+    sinks.land_chunks(payloads.transform(with_schema_key), docs)
+    before = read_all(spark, docs)
+    failing = broken(payloads).withColumn("payload", F.concat("payload", F.lit(" "), "v"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.land_chunks(failing.withColumn("schema_key", F.lit("v")), docs)
+    assert read_all(spark, docs) == before
+
+
+def test_values_come_back_as_they_are(spark):
+    odd = [("1", " x "), ("2", "y  "), ("3", '"|"'), ("4", "\ta\\"), ("5", ""), ("6", None), (" ", "'")]
+    df = spark.createDataFrame(odd, "a string, b string")
+    source, raw = work_dir(spark, "source"), work_dir(spark, "raw")
+    sinks.land_by_date(df, source, DAY)
+    plans.run_landing(spark, day_path(source, DAY), raw, DAY)
+    got = sources.read_landed_day(spark, raw, DAY)
+    assert sorted(map(tuple, got.collect())) == sorted(odd, key=lambda r: r[0])
+
+
+def test_line_breaks_are_refused_or_kept(spark):
+    df = spark.createDataFrame([("a\nb", "1"), ("c\r\nd", "2")], "a string, b string")
+    path = work_dir(spark, "breaks")
+    with pytest.raises(Exception, match="line break in a"):
+        sinks.land_by_date(df, path, DAY)
+    sinks.land_by_date(df, path, DAY, multi_line=True)
+    got = sources.read_landed_day(spark, path, DAY, multi_line=True)
+    assert sorted(r.a for r in got.collect()) == ["a\nb", "c\r\nd"]
+
+
+def test_no_row_of_a_single_column_is_lost(spark):
+    path = work_dir(spark, "single")
+    df = spark.createDataFrame([("a",), ("",), (" ",)], "a string")
+    sinks.land_by_date(df, path, DAY)
+    assert sorted(r.a for r in sources.read_landed_day(spark, path, DAY).collect()) == ["", " ", "a"]
+    with pytest.raises(Exception, match="only column"):
+        sinks.land_by_date(df.union(spark.sql("SELECT CAST(null AS STRING)")), path, DAY)
+
+
+def write_text(spark, text):
+    path = work_dir(spark, "text")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+ONE, TWO = '{"imdb_id":"tt1"}', '{"imdb_id":"tt2"}'
+
+
+@pytest.mark.parametrize(
+    "text", [f"{ONE}\n{TWO}", ONE, f"[{ONE}]\n[{TWO}]", f"[{ONE}] x", f"[{ONE},", "", '"a"', f"[{ONE}],{TWO}"]
+)
+def test_array_reader_refuses_what_is_no_array(spark, text):
+    with pytest.raises(Exception):
+        sources.read_document_arrays(spark, write_text(spark, text), schemas.DOCUMENT).collect()
+
+
+def test_array_reader_reads_arrays(spark):
+    for text, n in ((f" \n[{ONE},\n {TWO}]\n", 2), ("[]", 0)):
+        got = sources.read_document_arrays(spark, write_text(spark, text), schemas.DOCUMENT)
+        assert got.count() == n
+
+
+def test_bad_lines_go_to_quarantine(spark):
+    full = (
+        '{"imdb_id":"tt%d","budget":5,"genres":[{"id":1,"name":"g"}],"production_companies":[{"name":"c"}],'
+        '"production_countries":[{"name":"n"}],"spoken_languages":[{"name":"l"}]}'
+    )
+    path = write_text(spark, "\n".join([full % 1, "{broken", full % 2, "", "[1]"]))
+    target, aside = work_dir(spark, "trusted"), work_dir(spark, "aside")
+    with pytest.raises(Exception):
+        plans.run_documents(spark, path, target, "quarantined")
+    name = plans.run_documents(spark, path, target, "quarantined", quarantine=aside)
+    got = spark.table(name).select("imdb_id", "budget").collect()
+    assert sorted(map(tuple, got)) == [("tt1", "5"), ("tt2", "5")]
+    assert sorted(r.value for r in spark.read.parquet(aside).collect()) == ["[1]", "{broken"]
+
+
+def test_staged_data_goes_with_the_job(spark):
+    with pytest.raises(RuntimeError), job_folder(spark) as folder:
+        stage(spark.range(5)).count()
+        assert os.listdir(folder.removeprefix("file://"))
+        raise RuntimeError
+    assert not os.path.exists(folder.removeprefix("file://"))
+    base = os.path.dirname(folder.removeprefix("file://"))
+    local = work_dir(spark, "local")
+    sinks.land_by_date(
+        spark.range(3).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("nomeArtista")), local, DAY
+    )
+    answers = spark.range(3).select(
+        F.col("id").cast("string").alias("id"), F.lit(200).alias("status"), F.lit('{"a":1}').alias("payload")
+    )
+    answers.write.parquet(work := work_dir(spark, "answers"))
+    target = work_dir(spark, "target")
+    before = set(os.listdir(base))
+    jobs.run(
+        spark,
+        ["enrich", "--source", local, "--lookups", work, "--target", target, "--run-date", "2023-11-06"],
+    )
+    assert set(os.listdir(base)) - before == {os.path.basename(target)}
+    assert sources.read_document_lines(spark, target, schemas.DOCUMENT).count() == 3
+
+
+def test_lookups_are_checked(spark):
+    local = work_dir(spark, "local")
+    sinks.land_by_date(spark.createDataFrame([("1", "a")], "id string, nomeArtista string"), local, DAY)
+    wrong = spark.createDataFrame([(1, "200", "{}")], "id long, status string, payload string")
+    with pytest.raises(Exception):
+        plans.run_enrichment(spark, local, wrong, work_dir(spark, "t"), None, DAY)
+
+
+def test_the_launcher_starts():
+    out = subprocess.run(
+        [sys.executable, "lake_jobs.py", "land", "--help"], cwd=REPO, capture_output=True, text=True, timeout=120
+    )
+    assert out.returncode == 0 and "--run-date" in out.stdout

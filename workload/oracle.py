@@ -51,6 +51,27 @@ _COMPANIES = f"""
     FROM ({_LINES}) x WHERE l_returnflag = 'R'"""
 
 
+# One row per title and combination of the values its line items have.
+_TITLE_DOCUMENTS = f"""
+    WITH line AS (SELECT 'tt' || l_orderkey AS imdb_id, * FROM ({_LINES}) x),
+    company AS (
+        SELECT DISTINCT 'tt' || l_orderkey AS imdb_id, company_id, company_name,
+               company_origin_country
+        FROM ({_COMPANIES}) c)
+    SELECT imdb_id,
+           CASE WHEN l_orderkey % 2 = 1 THEN CAST(length(imdb_id) AS VARCHAR) END AS budget,
+           CASE WHEN l_orderkey % 2 = 0 THEN '{{"of":"' || imdb_id || '"}}' END AS rating,
+           genre_name, company_name, production_country_name, spoken_language_name
+    FROM (SELECT DISTINCT imdb_id, l_orderkey FROM line) t
+    JOIN (SELECT DISTINCT imdb_id, string_split(p_name, ' ')[1] AS genre_name FROM line) g
+        USING (imdb_id)
+    JOIN company USING (imdb_id)
+    JOIN (SELECT DISTINCT imdb_id, r_name AS production_country_name
+          FROM line WHERE l_linestatus = 'F') n USING (imdb_id)
+    JOIN (SELECT DISTINCT imdb_id, 'status ' || l_linestatus AS spoken_language_name
+          FROM line) v USING (imdb_id)"""
+
+
 def _spelled(us: bool) -> str:
     return "CASE WHEN r_name = 'AMERICA' THEN 'US' ELSE r_name END" if us else "r_name"
 
@@ -152,6 +173,11 @@ _SUPPLIER_PAIRS = f"SELECT DISTINCT * FROM ({_ORDER_SUPPLIERS}) s WHERE supplier
 
 # --- One statement per query -------------------------------------------------
 
+_REFINED_SERIES = f"""
+        SELECT imdb_id, original_title, release_year, finish_year,
+               TRY_CAST(runtime AS INTEGER) AS runtime, genre, vote_average, vote_count, profession
+        FROM ({_trusted_local(series=True)}) t"""
+
 ORACLE: dict[str, str] = {
     "scan_delimited": """
         SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
@@ -210,9 +236,9 @@ ORACLE: dict[str, str] = {
         FROM ({_LINES}) x""",
     "collect_companies": _SUPPLIER_TEXT,
     "collect_countries": f"""
-        SELECT 'tt' || l_orderkey AS imdb_id, string_agg(DISTINCT country, ',' ORDER BY country)
-               AS countries
-        FROM (SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN n_name ELSE s_name END AS country
+        SELECT 'tt' || l_orderkey AS imdb_id,
+               coalesce(string_agg(DISTINCT country, ',' ORDER BY country), '') AS countries
+        FROM (SELECT l_orderkey, CASE WHEN l_linestatus = 'F' THEN r_name END AS country
               FROM ({_LINES}) x) c
         GROUP BY l_orderkey""",
     "known_pairs": _SUPPLIER_PAIRS,
@@ -293,14 +319,19 @@ ORACLE: dict[str, str] = {
     "trusted_local_movies_of_artist": _trusted_local(f"artist_name = '{ARTIST}'"),
     "trusted_local_series": _trusted_local(series=True),
     "trusted_documents": _TRUSTED_DOCUMENTS,
-    "refined_series": f"""
-        SELECT imdb_id, original_title, release_year, finish_year,
-               TRY_CAST(runtime AS INTEGER) AS runtime, genre, vote_average, vote_count, profession
-        FROM ({_trusted_local(series=True)}) t""",
+    "refined_series": _REFINED_SERIES,
+    "series_job": _REFINED_SERIES,
     "unified_movies": _unified(_trusted_local()),
     "unified_movies_of_artist": _unified(_trusted_local(f"artist_name = '{ARTIST}'")),
     "unified_movies_origin_per_batch": _unified(_trusted_local(), per_batch=True),
     "unified_movies_keep_unmatched": _unified(_trusted_local(), join="LEFT JOIN"),
     "unified_movies_from_documents": _unified(_trusted_local()),
+    "unified_movies_job_documents": _unified(_trusted_local(), us=False),
+    "trusted_documents_landed": _TITLE_DOCUMENTS,
+    "trusted_documents_landed_arrays": _TITLE_DOCUMENTS,
+    "landed_values": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id,
+               '  ' || o_orderpriority || ' |"' || chr(10) || ' ' || o_orderstatus || '  ' AS note
+        FROM orders""",
     "catalogued_lake": _unified(_trusted_local(), us=False),
 }

@@ -245,9 +245,8 @@ def collect_companies(spark, d):
 
 @query
 def collect_countries(spark, d):
-    docs = documents(spark, d).select(
-        "imdb_id", F.element_at("production_companies", -1)["name"].alias("country")
-    )
+    docs = documents(spark, d).select("imdb_id", F.explode_outer("production_countries").alias("c"))
+    docs = docs.select("imdb_id", F.col("c.name").alias("country"))
     lists = op.collect_distinct(docs, "imdb_id", "country", "countries")
     return lists.select("imdb_id", F.array_join("countries", ",").alias("countries"))
 
@@ -502,6 +501,95 @@ def unified_movies_from_documents(spark, d):
     )
 
 
+def _title_documents(spark, d) -> DataFrame:
+    """All line items of a title as one document with long lists, and fields of its own."""
+    docs = documents(spark, d).withColumns(
+        {
+            "genres": F.slice("genres", 1, 1),
+            "spoken_languages": F.slice("spoken_languages", 2, 1),
+        }
+    )
+    lists = [
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+        for c in ("genres", "production_companies", "production_countries", "spoken_languages")
+    ]
+    titles = docs.groupBy("imdb_id").agg(F.min("title").alias("title"), *lists)
+    odd = F.substring("imdb_id", 3, 20).cast("bigint") % 2 == 1
+    return titles.withColumns(
+        {
+            "budget": F.when(odd, F.length("imdb_id").cast("bigint")),
+            "rating": F.when(~odd, F.struct(F.col("imdb_id").alias("of"))),
+        }
+    )
+
+
+def _trusted_titles(spark, d, order_by: str | None) -> DataFrame:
+    """Those documents through the default landing and the trusted job, read by table name."""
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "trusted")
+    payloads = _title_documents(spark, d).select("imdb_id", F.to_json(F.struct("*")).alias("payload"))
+    rows = payloads.transform(op.with_schema_key)
+    sinks.land_chunks(rows, landed, order_by=order_by)
+    table_name = f"trusted_titles_{'arrays' if order_by else 'lines'}"
+    name = plans.run_documents(spark, landed, target, table_name, arrays=order_by is not None)
+    return sources.read_table(spark, name).select(
+        "imdb_id",
+        "budget",
+        "rating",
+        "genre_name",
+        "company_name",
+        "production_country_name",
+        "spoken_language_name",
+    )
+
+
+@query
+def trusted_documents_landed(spark, d):
+    return _trusted_titles(spark, d, None)
+
+
+@query
+def trusted_documents_landed_arrays(spark, d):
+    return _trusted_titles(spark, d, "imdb_id")
+
+
+@query
+def landed_values(spark, d):
+    """Values with blanks, separators, quotes and line breaks, through the landing job and back."""
+    source, raw = work_dir(spark, "source"), work_dir(spark, "raw")
+    orders = table(spark, d, "orders")
+    rows = orders.select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.concat(F.lit("  "), "o_orderpriority", F.lit(" |\"\n "), "o_orderstatus", F.lit("  ")).alias("note"),
+    )
+    sinks.land_by_date(rows, source, RUN_DATE, multi_line=True)
+    plans.run_landing(spark, day_path(source, RUN_DATE), raw, RUN_DATE, multi_line=True)
+    return sources.read_landed_day(spark, raw, RUN_DATE, multi_line=True)
+
+
+@query
+def series_job(spark, d):
+    """The job of the refined series, from a stored trusted table to the catalog."""
+    trusted, refined = work_dir(spark, "trusted"), work_dir(spark, "refined")
+    trusted_local_series(spark, d).write.parquet(trusted)
+    return sources.read_table(spark, plans.run_series(spark, trusted, refined))
+
+
+@query
+def unified_movies_job_documents(spark, d):
+    """The job of the refined movies, straight from landed documents."""
+    local, landed, refined = (work_dir(spark, n) for n in ("local", "landed", "refined"))
+    trusted_local_movies(spark, d).write.parquet(local)
+    folders = []
+    for i, batch in enumerate(document_batches(spark, d)):
+        docs = batch.select(F.to_json(F.struct("*")).alias("payload"))
+        sinks.land_chunks(docs.transform(op.with_schema_key), f"{landed}/{i}")
+        folders.append(f"{landed}/{i}")
+    name = plans.run_unified_movies(
+        spark, local, folders, refined, table="unified_movies_of_documents", documents=True
+    )
+    return sources.read_table(spark, name)
+
+
 @query
 def catalogued_lake(spark, d):
     """All jobs in turn through files and catalog tables, up to the refined table."""
@@ -520,8 +608,8 @@ def catalogued_lake(spark, d):
     for number, batch in enumerate(document_batches(spark, d), start=1):
         landed, target = f"{raw}/documents_{number}", f"{trusted}/documents_{number}"
         docs = batch.select(F.to_json(F.struct("*")).alias("payload"))
-        sinks.land_chunks(docs.transform(op.with_schema_key), landed, size=10_000)
-        plans.run_documents(spark, landed, target, f"trusted_api_movies_{number}", arrays=False)
+        sinks.land_chunks(docs.transform(op.with_schema_key), landed)
+        plans.run_documents(spark, landed, target, f"trusted_api_movies_{number}")
         batches.append(target)
     name = plans.run_unified_movies(spark, f"{trusted}/local", batches, refined)
     return sources.read_table(spark, name)
