@@ -40,7 +40,8 @@ def with_chunks(rows: DataFrame, window: int, cuts: int, long_line: int) -> Data
     """Adds ``chunks``, the chunks of ``body`` in order.
 
     Lambdas read their own item only, so the work grows with the text and not with its
-    square. Every line is written after a mark that says whether it begins a chunk;
+    square. There is always a chunk; taking them apart with an outer explode keeps Spark
+    from filtering by their number, for which it would cut every text twice. Every line is written after a mark that says whether it begins a chunk;
     splitting at one of the marks gives the chunks.
     """
     no = F.lit(False)
@@ -109,7 +110,7 @@ def dedup_lines(
     keyed = rows.select("doc", "version", "body")
     chunks = stage(
         with_chunks(keyed, window, cuts, long_line)
-        .select("doc", "version", F.posexplode("chunks").alias("at", "chunk"))
+        .select("doc", "version", F.posexplode_outer("chunks").alias("at", "chunk"))
         .filter(may_go(F.col("chunk"), long_line))
         .select(
             "doc",
@@ -140,7 +141,7 @@ def dedup_lines(
     # The candidates' texts: only documents that have some go on, and of them only these chunks.
     texts = stage(
         with_chunks(keyed.join(candidates, ["doc", "version"]), window, cuts, long_line)
-        .select("doc", "version", "candidates", F.posexplode("chunks").alias("at", "text"))
+        .select("doc", "version", "candidates", F.posexplode_outer("chunks").alias("at", "text"))
         .withColumn("c", F.try_element_at("candidates", "at"))
         .filter("c IS NOT NULL")
         .select(
@@ -148,8 +149,8 @@ def dedup_lines(
         ),
         "texts",
     )
-    # Equal rows of documents give equal firsts.
-    firsts = texts.filter("is_first").select("hash", "bytes", F.col("text").alias("kept")).distinct()
+    # Rows of one document may repeat; their texts are equal.
+    firsts = texts.filter("is_first").groupBy("hash", "bytes").agg(F.first("text").alias("kept"))
     equal = texts.filter("NOT is_first").join(firsts, ["hash", "bytes"]).filter("text = kept")
     removed = equal.groupBy("doc", "version").agg(F.collect_set("at").alias("removed"))
     joined = rows.join(removed, ["doc", "version"], "left")
