@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import groups, shuffle_partitions, stage, text_of
@@ -28,6 +28,7 @@ from .words import mix, set_key, shingle_sets
 BITS = 4
 BUCKET_BLOCK = 256
 CLUSTER_BLOCK = 256
+SALTS = 8
 # Standard deviations of the estimate by which a pair may fall short of the threshold.
 DEVIATIONS = 4.5
 
@@ -432,19 +433,24 @@ def components(links: DataFrame) -> DataFrame:
 
     def passed(edges: DataFrame, to_larger: bool) -> DataFrame:
         least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        joined = edges.join(least, "u")
         if to_larger:
-            out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            # A node may have very many larger neighbours: they are dealt out by a salt.
+            salted = edges.filter("v > u").withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+            every = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)]))
+            joined = salted.join(least.withColumn("s", every), ["u", "s"])
+            out = joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
+            joined = edges.join(least, "u")
             out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
                 least.select("u", F.col("m").alias("v"))
             )
         return out.filter("u <> v").distinct()
 
     def done(edges: DataFrame) -> bool:
-        several = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")
-        inner = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
-        return several.union(inner.select("u")).isEmpty()
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+        ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+        held = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        return held.filter("out > 1 OR (out > 0 AND into > 0)").isEmpty()
 
     edges = stage(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
