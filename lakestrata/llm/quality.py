@@ -9,6 +9,7 @@ scores are calibrated by isotonic regression on rows that the fit has not seen.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -73,18 +74,15 @@ def statistics(text: str) -> list[float]:
     words = text.split()
     n_words = max(len(words), 1)
     low = list(map(str.lower, words))
-    distinct = set(low)
+    counted = Counter(low)
     lines = [line for line in text.split("\n") if line.strip()]
     n_lines = max(len(lines), 1)
-    # The commonest word of the first and last hundred: cheap, and no part of a long text
-    # decides alone, as the share of distinct words covers the whole.
-    ends = low[:100] + low[-100:]
-    top = max(map(ends.count, set(ends[:20] + ends[-20:])), default=0) / max(len(ends), 1)
+    top = max(counted.values(), default=0) / n_words
     return [
         math.log1p(len(text)),
         math.log1p(len(words)),
         min(len(text) / n_words, 100.0),
-        len(distinct) / n_words,
+        len(counted) / n_words,
         sum(map(COMMON_WORDS.__contains__, low)) / n_words,
         *held[1:7],
         held[8],

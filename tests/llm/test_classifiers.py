@@ -142,3 +142,12 @@ def test_obfuscated_insults_count():
     features = toxicity.Lexicons({}).features(["what an 1d1ot and m0ron you st*pid i.d.i.o.t id1ot"])[0]
     named = dict(zip(toxicity.FEATURES, features, strict=True))
     assert named["obfuscated_words"] > 0 and named["obfuscated_insults"] > 0
+
+
+def test_commonest_word_is_that_of_the_whole_text():
+    at = quality.STATISTICS.index("top_word")
+    words = [f"w{i}" for i in range(800)]
+    assert quality.statistics(" ".join(words))[at] == 1 / 800
+    stuffed = [*words[:300], *["Buy", "buy"] * 100, *words[300:]]
+    assert quality.statistics(" ".join(stuffed))[at] == 200 / 1000
+    assert quality.statistics("")[at] == 0
