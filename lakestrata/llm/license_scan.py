@@ -6,7 +6,9 @@ the same way. Equal words at both ends of a gap match first. The coverage is the
 share of the template's words that are matched.
 
 A stretch is considered only if it has enough of the template's words, which no match
-can do without, so nothing is lost by it and every alignment is small.
+can do without, so nothing is lost by it and every alignment is small. Where anchors
+repeat, stretches that may hold more than the alignment found are matched by their
+longest common subsequence with the template.
 """
 
 from __future__ import annotations
@@ -135,22 +137,26 @@ class Template:
             raise ValueError(f"template {name} has no words")
         self.counts = Counter(self.words)
         self.needed = max(math.ceil(least * len(self.words) - 1e-9), 1)
+        self.masks: dict[str, int] = {}
+        for i, word in enumerate(self.words):
+            self.masks[word] = self.masks.get(word, 0) | 1 << i
         #: A match may be spread over so many words of the text.
         self.spread = 2 * len(self.words)
 
     def best(self, words: list[str]) -> tuple[int, int, int] | None:
         """Matched words, first and last word of the best match in the text, if it suffices.
 
-        Windows of twice the spread, one beginning at every spread, cover every match.
+        Windows of twice the spread, one beginning at every spread, cover every match. Where
+        anchors repeat, as in copies that follow each other, their alignment may be less than
+        the best, so stretches that could hold more are matched exactly.
         """
-        inside = np.fromiter(map(self.counts.__contains__, words), dtype=bool, count=len(words))
-        sums = np.concatenate([[0], np.cumsum(inside)])
+        bounds = self.bounds(words)
+        if not bounds:
+            return None
         best = None
-        for start in range(0, max(len(words) - self.spread, 0) + 1, self.spread):
-            end = min(start + 2 * self.spread, len(words))
-            if sums[end] - sums[start] < self.needed:
-                continue
-            pairs = align(words[start:end], self.words)
+        for first in sorted({start // self.spread for start in bounds}):
+            start = first * self.spread
+            pairs = align(words[start : start + 2 * self.spread], self.words)
             low = 0
             for high in range(len(pairs)):
                 while pairs[high][0] - pairs[low][0] >= self.spread:
@@ -158,7 +164,64 @@ class Template:
                 n = high - low + 1
                 if n >= self.needed and (best is None or n > best[0]):
                     best = (n, start + pairs[low][0], start + pairs[high][0])
-        return best
+        after = 0
+        for start, bound in bounds.items():
+            least = best[0] if best else self.needed - 1
+            if start < after or bound <= least:
+                continue
+            n, end = self.common(words, start, start + self.spread)
+            if n > least:
+                best = (n, start, end)
+            else:
+                # A stretch that begins so many words later has so many more at most.
+                after = start + least - n + 1
+        if best is None:
+            return None
+        # The latest beginning from which as many words match up to the same end.
+        n, start, _ = best
+        _, end = self.common(words, start, best[2] + 1)
+        while self.common(words, start + 1, end + 1)[0] == n:
+            start += 1
+        return n, start, end
+
+    def bounds(self, words: list[str]) -> dict[int, int]:
+        """Beginnings of stretches of the spread that begin with a template word and may
+        suffice, each with the number of template words it has in any order."""
+        inside = np.fromiter(map(self.counts.__contains__, words), dtype=bool, count=len(words))
+        at = np.flatnonzero(inside)
+        ends = np.searchsorted(at, at + self.spread)
+        if not len(at) or (ends - np.arange(len(at))).max() < self.needed:
+            return {}
+        places = at.tolist()
+        held: Counter[str] = Counter()
+        out = {}
+        n = high = 0
+        for low, end in enumerate(ends.tolist()):
+            for i in range(high, end):
+                word = words[places[i]]
+                held[word] += 1
+                n += held[word] <= self.counts[word]
+            high = end
+            if n >= self.needed:
+                out[places[low]] = n
+            word = words[places[low]]
+            n -= held[word] <= self.counts[word]
+            held[word] -= 1
+        return out
+
+    def common(self, words: list[str], start: int, end: int) -> tuple[int, int]:
+        """Length of the longest common subsequence of a stretch and the template, and the
+        place of the first word by which it is reached; a bit stands for a template word."""
+        free = full = (1 << len(self.words)) - 1
+        last = start
+        for i in range(start, min(end, len(words))):
+            if mask := self.masks.get(words[i]):
+                met = free & mask
+                after = ((free + met) | (free - met)) & full
+                if after.bit_count() < free.bit_count():
+                    last = i
+                free = after
+        return len(self.words) - free.bit_count(), last
 
 
 def scan_text(text: str, templates: list[Template]) -> list[tuple]:

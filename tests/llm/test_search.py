@@ -130,6 +130,42 @@ def test_best_match_is_not_below_that_of_any_window():
     assert template.best(twice)[0] == len(template.words)
 
 
+@pytest.mark.parametrize("name", ["MIT-notice", "Apache-2.0-notice", "all-rights-reserved", "MIT", "GPL-header"])
+def test_adjacent_copies_match_at_every_offset(name):
+    template = ls.Template(name, ls.TEMPLATES[name], 0.8)
+    size = len(template.words)
+    for copies in (2, 3, 5):
+        for place in range(2 * template.spread if size < 20 else 60):
+            text = prose(place).split() + template.words * copies + prose(7).split()
+            n, start, end = template.best(text)
+            assert n == size and end - start == size - 1
+            assert text[start : end + 1] == template.words
+
+
+def test_edited_copies_match_as_much_as_any_stretch_holds():
+    template = ls.Template("t", ls.TEMPLATES["Apache-2.0-notice"], 0.7)
+
+    def plain_common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b, 1):
+                row[j] = before[j - 1] + 1 if x == y else max(before[j], row[j - 1])
+        return row[-1]
+
+    for _ in range(60):
+        text = prose(RNG.randrange(12)).split()
+        for _ in range(RNG.randrange(1, 5)):
+            copy = list(template.words)
+            copy[RNG.randrange(len(copy))] = RNG.choice(["other", *template.words])
+            text += copy
+        best = max(plain_common(text[i : i + template.spread], template.words) for i in range(len(text)))
+        found = template.best(text)
+        assert (found[0] if found else 0) == (best if best >= template.needed else 0)
+        if found:
+            assert plain_common(text[found[1] : found[2] + 1], template.words) == found[0]
+
+
 def test_scan(spark):
     texts = [(i, f"{prose(30)}\n{text}\n{prose(30)}") for i, text in enumerate(ls.TEMPLATES.values())]
     texts += [(100, None), (101, ""), (102, prose(50_000)), (103, "all was reserved and rights were kept"), (None, "All rights reserved."), (None, "All rights reserved."), (104, "x" * 300_000)]
