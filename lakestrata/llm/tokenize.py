@@ -16,7 +16,8 @@ class WordEncoder:
     """Encodes texts with a vocabulary whose pre-tokenizer never joins two words.
 
     Such a vocabulary lower-cases, drops white space and splits at it, so the ids of a
-    text are those of its words in turn. Each distinct word is encoded once while it is in the memo, many in one call. The
+    text are those of its words in turn. Only special tokens are matched before the
+    lower-casing, so a text that has one in any case keeps its case here. Each distinct word is encoded once while it is in the memo, many in one call. The
     memo has two generations of about ``memo`` words each: when the young one is full it
     becomes the old one, and a word found in the old one moves back. All ids are the
     tokenizer's own.
@@ -30,6 +31,8 @@ class WordEncoder:
         self.memo = memo
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.encode().lower() for t in added if not t.normalized]
         self.mark = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
 
     def whole(self, text: bytes) -> bytes:
@@ -64,15 +67,23 @@ class WordEncoder:
         if missing:
             self._encode(missing)
 
+    def _cased(self, raw: bytes) -> bytes:
+        """The text in lower case, or as it stands where that could change its ids."""
+        for c in _COMBINING:
+            if c in raw:
+                return raw
+        low = raw.lower()
+        for s in self.special:
+            if s in low:
+                return raw
+        return low
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         raws = texts.cast(pa.binary()).to_pylist()
         out: list[bytes] = []
         for i in range(0, len(raws), 64):
-            words = [
-                (raw if any(c in raw for c in _COMBINING) else raw.lower()).split()
-                for raw in raws[i : i + 64]
-            ]
+            words = [self._cased(raw).split() for raw in raws[i : i + 64]]
             if len(self.young) > self.memo:
                 self.old, self.young = self.young, {}
             get = self.young.get

@@ -156,3 +156,19 @@ def test_files_give_back_all_ids(spark, planes):
         assert reader.ids(700, 900).tobytes() == whole[2800:6400]
     empty = token_files.write_ids(docs.limit(0), folder, VOCABULARY)
     assert token_files.read_ids(empty).count() == 0
+
+
+CASED = [*WEIRD, "<|ENDOFTEXT|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "<|startoftext|>", "<|", "END"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(CASED), max_size=8))
+def test_special_tokens_are_only_those_of_the_raw_text(parts):
+    text = "".join(parts)
+    assert ENCODER.encode(pa.array([text])) == [packed(ids(text))]
+
+
+def test_upper_case_special_token_is_plain_text():
+    text = "A <|ENDOFTEXT|> b <|endoftext|> C"
+    assert ids("<|ENDOFTEXT|>") == [27, 347, 40786, 4160, 91, 285]
+    assert ENCODER.encode(pa.array([text])) == [packed(ids(text))]
