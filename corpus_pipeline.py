@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.llm import packing, quality
 from lakestrata.llm.decontaminate import drop_leaks
-from lakestrata.llm.line_dedup import dedup_lines
+from lakestrata.llm.line_dedup import dedup_lines, drop_passages
 from lakestrata.llm.near_dedup import NearDuplicates
 from lakestrata.llm.queries import table, vocabulary
 from lakestrata.session import stage
@@ -25,8 +25,8 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks leave the text; a document of which nothing is left goes."""
-    out = dedup_lines(docs, drop_emptied=True, counts=False)
+    """Repeated passages and chunks leave the text; a document of which nothing is left goes."""
+    out = dedup_lines(drop_passages(docs), drop_emptied=True, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -15,7 +15,7 @@ All steps are built-in functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .shared import stage, text_of
@@ -158,6 +158,108 @@ def dedup_lines(
     return _without(cut, docs.columns, drop_emptied, counts)
 
 
+def drop_passages(docs: DataFrame, least_words: int = 50) -> DataFrame:
+    """``docs`` with repeated passages of whole lines taken out of ``text``.
+
+    A passage is a run of lines with ``least_words`` words at least. Every line begins and
+    ends a shortest passage; longer ones are made of these, so a repeated passage goes as
+    a whole, to its last line, wherever it stands and however short its lines are. Of equal
+    passages the first stays, in the order of ``dedup_lines``. Lines without words are
+    not compared; they go with the passage around them. Lines are equal if 128 bits of their
+    SHA-256 are. Rows of which nothing is left go; other texts, null and empty ones too,
+    stay as they are.
+    """
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"),
+        text_of().alias("body"),
+    ).withColumn("version", F.xxhash64("body"))
+
+    def name(x: Column) -> Column:
+        return F.substring(F.unhex(F.sha2(x, 256)), 1, 16)
+
+    def words(x: Column) -> Column:
+        return F.regexp_count(x, F.lit(r"\S+"))
+
+    lines = (
+        rows.select("doc", "version", F.posexplode_outer(lines_of(F.col("body"))).alias("at", "line"))
+        .select("doc", "version", "at", name(F.col("line")).alias("name"), words(F.col("line")).alias("n"))
+        .filter("n > 0")
+        .dropDuplicates(["doc", "version", "at"])
+    )
+    by = Window.partitionBy("doc", "version")
+    ends = lines.withColumn("end", F.sum("n").over(by.orderBy("at"))).withColumn(
+        "start", F.col("end") - F.col("n")
+    )
+    # Every line has a word, so starts and ends ascend and a frame has no line too many.
+    ahead = by.orderBy("start").rangeBetween(0, least_words - 1)
+    behind = by.orderBy("end").rangeBetween(1 - least_words, 0)
+
+    def passage(frame: WindowSpec) -> Column:
+        return F.struct(
+            F.substring(F.unhex(F.sha2(F.concat_ws("", F.collect_list(F.hex("name")).over(frame)), 256)), 1, 16).alias("name"),
+            F.min("at").over(frame).alias("first"),
+            F.max("at").over(frame).alias("last"),
+            (F.sum("n").over(frame) >= least_words).alias("whole"),
+        )
+
+    both = ends.select("doc", "version", passage(ahead).alias("a"), passage(behind).alias("b"))
+    same = (F.col("a.first") == F.col("b.first")) & (F.col("a.last") == F.col("b.last"))
+    passages = stage(
+        both.select(
+            "doc",
+            "version",
+            F.explode(F.when(same, F.array("a")).otherwise(F.array("a", "b"))).alias("p"),
+        )
+        .filter("p.whole")
+        .select("doc", "version", "p.name", "p.first", "p.last"),
+        "passages",
+    )
+    place = F.struct("doc", "version", "first", "last")
+    repeated = (
+        passages.groupBy("name")
+        .agg(F.min(place).alias("kept"), F.max(place).alias("other"))
+        .filter("kept <> other")
+        .drop("other")
+    )
+    gone = (
+        passages.join(repeated, "name")
+        .filter(place != F.col("kept"))
+        .groupBy("doc", "version", "first")
+        .agg(F.max("last").alias("last"))
+    )
+
+    def flags(s: Column) -> Column:
+        return F.concat(
+            F.array_repeat(F.lit(False), s["gap"]),
+            F.array_repeat(F.lit(True), s["last"] - s["first"] + 1),
+        )
+
+    # Spans that overlap become one, so that a text meets each of its lines once.
+    before = F.max("last").over(by.orderBy("first").rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("first") > before, F.lit(True)).cast("int")
+    spans = (
+        gone.withColumn("opens", opens)
+        .withColumn("span", F.sum("opens").over(by.orderBy("first")))
+        .groupBy("doc", "version", "span")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .withColumn("gap", F.col("first") - F.coalesce(F.lag("last").over(by.orderBy("first")), F.lit(-1)) - 1)
+        .groupBy("doc", "version")
+        .agg(F.array_sort(F.collect_list(F.struct("first", "last", "gap"))).alias("spans"))
+        .withColumn("gone", F.flatten(F.transform("spans", flags)))
+        .drop("spans")
+    )
+    zipped = F.arrays_zip(lines_of(F.col("body")).alias("line"), F.col("gone").alias("gone"))
+    kept = F.filter(zipped, lambda x: ~F.coalesce(x["gone"], F.lit(False)))
+    left = F.transform(kept, lambda x: x["line"])
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n"))
+    cut = rows.join(spans, ["doc", "version"], "left").select(
+        F.col("row").withField("text", text).alias("row"), F.col("gone").isNotNull().alias("changed")
+    )
+    out = cut.filter(~F.col("changed") | (_bare(F.col("row.text")) != ""))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def _without(
     cut: DataFrame, columns: list[str], drop_emptied: bool, counts: bool
 ) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from lakestrata.llm import line_dedup
-from lakestrata.llm.line_dedup import dedup_lines
+from lakestrata.llm.line_dedup import dedup_lines, drop_passages
 from lakestrata.llm.queries import ORACLE
 from tests.compare import difference, oracle
 
@@ -82,3 +82,32 @@ def test_equal_hashes_of_different_chunks_stay(spark, monkeypatch):
     monkeypatch.setattr(line_dedup.F, "xxhash64", lambda *_: line_dedup.F.lit(7))
     texts = [(1, "a" * 200), (2, "b" * 200), (3, "a" * 200)]
     assert text_rows(dedup_lines(documents(spark, texts))) == {1: "a" * 200, 2: "b" * 200, 3: ""}
+
+
+def test_passages_of_short_lines_go_whole(spark):
+    texts, passages = [], []
+    for k in range(4, 13):
+        size = max(-(-50 // k), 7 + k % 3)
+        passage = [line(size - 1 + (i % 2)) for i in range(k)] + [line(size)]
+        passages.append(passage)
+        for copy in range(3):
+            around = [[line(9) for _ in range(RNG.randrange(4))] for _ in range(2)]
+            inner = [*passage[:2], *[""] * copy, *passage[2:]]
+            texts.append((10 * k + copy, "\n".join([*around[0], *inner, *around[1], line(9)])))
+    texts += [(900, None), (901, ""), (902, "short\nshort"), (903, "\n".join(passages[0])), (None, texts[0][1]), (None, texts[0][1])]
+    got = drop_passages(documents(spark, texts).repartition(3))
+    assert no_python(got._jdf.queryExecution().executedPlan().toString())
+    rows = text_rows(got)
+    assert 903 not in rows and rows[900] is None and rows[901] == "" and rows[902] == "short\nshort"
+    assert rows[None] == texts[0][1] and got.filter("doc_id IS NULL").count() == 2
+    for k, passage in zip(range(4, 13), passages, strict=True):
+        # The smallest number is that of the repeated rows without one.
+        for copy in range(3):
+            before, after = dict(texts)[10 * k + copy], rows.get(10 * k + copy, "")
+            if copy == 0 and k > 4:
+                assert after == before
+            else:
+                assert not set(passage) & set(after.split("\n"))
+            if copy or k > 4:
+                assert set(before.split("\n")) - {*passage, ""} <= set(after.split("\n"))
+    assert drop_passages(documents(spark, [])).count() == 0
