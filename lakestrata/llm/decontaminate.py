@@ -104,7 +104,7 @@ class ItemIndex:
 
 
 def item_blocks(items: DataFrame, k: int, threshold: float) -> Iterator[ItemIndex]:
-    """The benchmark in blocks; one is in the driver's memory at a time."""
+    """The benchmark in blocks; the query's plan holds all of them until it ends."""
     texts = items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(math.ceil(chars / BLOCK_CHARS), 1)
