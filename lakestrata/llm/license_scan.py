@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .shared import text_of
 
-# Notices and short license texts.
+# Notices, and excerpts from the beginnings of license texts. The coverage is that
+# of the excerpt; the one named BSD-3-Clause also begins BSD-2-Clause.
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
