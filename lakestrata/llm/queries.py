@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.session import tune, work_dir
+from lakestrata.session import tune
 
 from . import packing, quality, token_files, toxicity, warc
 from .decontaminate import find_leaks
@@ -16,6 +16,7 @@ from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
 from .near_dedup import NearDuplicates
 from .oracle import ORACLE
+from .shared import work_dir
 
 __all__ = ["ORACLE", "QUERIES"]
 

@@ -11,7 +11,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.session import stage, work_dir
+from lakestrata import session
+from lakestrata.session import stage
 
 __all__ = [
     "files",
@@ -33,15 +34,27 @@ def files(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a shared folder, and the path within it.
 
     A plain path or ``file:`` is a folder that all machines mount; other schemes
-    go to Arrow's file systems (hdfs, s3, gs).
+    go to Arrow's file systems (hdfs, s3, gs), Hadoop's names for s3 too.
     """
     if not _HAS_SCHEME.match(path):
         return fs.LocalFileSystem(), path
+    path = re.sub("^s3[an]:", "s3:", path)
     if path.startswith("file:"):
         return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
     return fs.FileSystem.from_uri(path)
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder path for files of tasks, with the scheme of the file system it lies in.
+
+    Without a scheme Spark would take the path for one of its default file system, Arrow for
+    one of the machine's own disk.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session.work_dir(spark, name))
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
 def join_paths(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
@@ -96,7 +109,15 @@ def ordered_blocks(df: DataFrame, key: str, blocks: int) -> tuple[Column, int]:
         bounds = sorted({int(b) for b in row["b"] or []})
     if not bounds:
         return F.lit(0), 1
-    found = F.size(F.filter(F.lit(bounds), lambda b: b < F.col(key)))
+    # Bisection: the number of bounds below the key, from the highest binary digit down.
+    held = F.lit(bounds)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+
+    def step(at: Column, width: Column) -> Column:
+        below = F.try_element_at(held, at + width) < F.col(key)
+        return F.when(below, at + width).otherwise(at)
+
+    found = F.aggregate(F.lit(steps), F.lit(0), step)
     return F.when(F.col(key).isNull(), 0).otherwise(found), len(bounds) + 1
 
 

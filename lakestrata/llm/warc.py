@@ -285,7 +285,8 @@ def read_archives(index: DataFrame, with_payload: bool = False) -> DataFrame:
                             rows, held = [], 0
                     yield _rows(rows, RECORDS)
 
-    spread = paths.repartition(shuffle_partitions(index.sparkSession), "path")
+    # Dealt in turn: dealt by path, as after the distinct, Spark would merge them into one task.
+    spread = paths.repartition(shuffle_partitions(index.sparkSession))
     found = spread.mapInArrow(read, RECORDS)
     return found if with_payload else found.select(*names[:-1])
 

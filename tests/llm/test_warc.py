@@ -109,3 +109,11 @@ def test_damage_is_noticed():
     assert next(warc.decode_records(record))[4] == 7
     with pytest.raises(ValueError):
         list(warc.decode_records(record.replace(b"payload", b"pAyload")))
+
+
+def test_read_back_uses_many_tasks(spark):
+    pages = spark.range(0, 400, 1, 8).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 50) AS html")
+    index = warc.write_archives(pages, work_dir(spark, "warc"), bundle_bytes=1 << 10)
+    read = warc.read_archives(index)
+    assert "REPARTITION_BY_NUM" in read._jdf.queryExecution().executedPlan().toString()
+    assert read.rdd.getNumPartitions() == 8
