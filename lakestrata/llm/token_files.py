@@ -12,9 +12,9 @@ A file holds the ids of one range of documents, in ascending document order:
 A plane has one bit (or byte) of every id of a block, so that the high planes, which
 hardly change, compress to almost nothing, and any block can be read by its index.
 
-Ranges come from quantiles of the document numbers. Each task writes the files of its
-ranges under a name of its own and returns them as rows. Those rows, stored by Spark,
-are the list of files: what a lost or repeated task has left is in no list.
+Ranges come from quantiles of the document numbers, one for each task. A task writes the
+file of its range under a name of its own and returns it as a row. Those rows, stored by
+Spark, are the list of files: what a lost or repeated task has left is in no list.
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import (
@@ -44,7 +45,7 @@ from .tokenize import encoder
 
 MAGIC = b"IDPLANE1"
 FILES = "block int, path string, n_ids long, n_docs long, n_bytes long"
-DOCUMENTS = "doc_id long, block int, local_start long, n_tokens long, ids_crc32 long"
+DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def to_planes(ids: np.ndarray, planes: str) -> list[bytes]:
@@ -196,10 +197,10 @@ def write_ids(
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     parts = shuffle_partitions(spark)
-    block, _ = ordered_blocks(texts, "doc_id", 2 * parts)
+    block, ranges = ordered_blocks(texts, "doc_id", parts)
     sorted_texts = (
         texts.withColumn("block", block.cast("int"))
-        .repartition(parts, "block")
+        .repartitionById(ranges, "block")
         .sortWithinPartitions("block", "doc_id", "text")
     )
 
@@ -247,26 +248,36 @@ def write_ids(
     return stage(sorted_texts.mapInArrow(write, FILES), "id-files")
 
 
+def first_ids(listed: DataFrame) -> dict[int, int]:
+    """Each file's first id in the whole corpus. There is one file for each task of the write."""
+    sizes = sorted((r["block"], r["n_ids"]) for r in listed.select("block", "n_ids").collect())
+    starts = accumulate((n for _, n in sizes), initial=0)
+    return {block: start for (block, _), start in zip(sizes, starts)}
+
+
 def read_ids(listed: DataFrame, with_ids: bool = False) -> DataFrame:
     """The documents of the listed files: number, first id in the whole corpus, ids.
 
-    ``listed`` has one row for each file; its running sum over files gives each file's
-    first id. ``ids`` (little-endian unsigned 32-bit) is read only ``with_ids``; the
-    checksum is always of the ids in the file.
+    ``listed`` has one row for each file, in one block each. The sizes of the files before
+    it give each file's first id; they go to the tasks, and no row is joined.
+    ``ids`` (little-endian unsigned 32-bit) is read only ``with_ids``; the checksum is
+    always of the ids in the file.
     """
     spark = listed.sparkSession
+    bases = first_ids(listed)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, block in zip(
                 batch.column("path").to_pylist(), batch.column("block").to_pylist(), strict=True
             ):
+                base = bases[block]
                 system, inner = files(path)
                 with system.open_input_file(inner) as source:
                     rows, held = [], 0
                     for doc, start, raw in PlaneReader(source).documents():
                         kept = raw if with_ids else None
-                        rows.append((doc, block, start, len(raw) // 4, zlib.crc32(raw), kept))
+                        rows.append((doc, base + start, len(raw) // 4, zlib.crc32(raw), kept))
                         held += len(raw)
                         if held > 16_000_000:
                             yield _documents(rows)
@@ -274,24 +285,14 @@ def read_ids(listed: DataFrame, with_ids: bool = False) -> DataFrame:
                     if rows:
                         yield _documents(rows)
 
-    paths = listed.select("path", "block").repartition(shuffle_partitions(spark), "block")
+    paths = listed.select("path", "block").repartitionById(max(len(bases), 1), "block")
     found = paths.mapInArrow(read, DOCUMENTS + ", ids binary")
-    # One row for each file, a few for each partition of the write.
-    first = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = listed.select("block", F.coalesce(F.sum("n_ids").over(first), F.lit(0)).alias("base"))
-    whole = found.join(bases, "block").select(
-        "doc_id",
-        (F.col("base") + F.col("local_start")).alias("start"),
-        "n_tokens",
-        "ids_crc32",
-        "ids",
-    )
-    return whole if with_ids else whole.drop("ids")
+    return found if with_ids else found.drop("ids")
 
 
 def _documents(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["doc_id", "block", "local_start", "n_tokens", "ids_crc32", "ids"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names
     )

@@ -4,12 +4,29 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .shared import quiet_tokenizers
 
 _MARK = b"|"
 # First bytes of the combining marks that may join an ASCII letter.
 _COMBINING = (b"\xcc", b"\xcd")
+# Marks that no rule of the vocabulary joins with a letter before them.
+_ENDINGS = b".,;:!?%#$&*"
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
+def _chunks(texts: list[bytes], size: int) -> list[list[bytes]]:
+    """Runs of texts of about ``size`` bytes together; a longer text is a run of its own."""
+    out: list[list[bytes]] = []
+    held = 0
+    for text in texts:
+        if not out or held + len(text) > size:
+            out.append([])
+            held = 0
+        out[-1].append(text)
+        held += len(text)
+    return out
 
 
 class WordEncoder:
@@ -17,19 +34,23 @@ class WordEncoder:
 
     Such a vocabulary lower-cases, drops white space and splits at it, so the ids of a
     text are those of its words in turn. Only special tokens are matched before the
-    lower-casing, so a text that has one in any case keeps its case here. Each distinct word is encoded once while it is in the memo, many in one call. The
-    memo has two generations of about ``memo`` words each: when the young one is full it
-    becomes the old one, and a word found in the old one moves back. All ids are the
-    tokenizer's own.
+    lower-casing, so a text that has one in any case keeps its case here.
+
+    Texts are taken in runs of about ``run`` bytes. Arrow splits a run and numbers its
+    distinct words; these are looked up once each, and the ids of all words are then
+    gathered by number. Each distinct word is encoded once while it is in the memo, many
+    in one call, and the marks at the end of a word apart from it. The memo has two
+    generations of about ``memo`` words each: when the young one is full it becomes the
+    old one, and a word found in the old one moves back. All ids are the tokenizer's own.
     """
 
-    def __init__(self, path: str, memo: int = 600_000) -> None:
+    def __init__(self, path: str, memo: int = 600_000, run: int = 1 << 23) -> None:
         quiet_tokenizers()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo = memo
-        self.young: dict[bytes, bytes] = {}
+        self.memo, self.run = memo, run
+        self.young: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode().lower() for t in added if not t.normalized]
@@ -56,16 +77,31 @@ class WordEncoder:
                 self.young[w] = raw[4 * start : 4 * end]
                 start = end + 1
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _known(self, word: bytes) -> bytes | None:
+        """The word's ids if the memo has them; they are then in the young generation."""
+        ids = self.young.get(word)
+        if ids is None and (ids := self.old.get(word)) is not None:
+            self.young[word] = ids
+        return ids
+
+    def _learn(self, words: list[bytes]) -> None:
         """Puts the words into the young generation."""
-        missing = []
-        for w in words:
-            if (ids := self.old.get(w)) is None:
-                missing.append(w)
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        missing: dict[bytes, None] = {}
+        for word in words:
+            if self._known(word) is not None:
+                continue
+            stem = word.rstrip(_ENDINGS)
+            if stem and len(stem) < len(word) and stem[-1] in _LETTERS:
+                parts[word] = stem, word[len(stem) :]
+                missing.update((x, None) for x in parts[word] if self._known(x) is None)
             else:
-                self.young[w] = ids
+                missing[word] = None
         if missing:
-            self._encode(missing)
+            self._encode(list(missing))
+        young = self.young
+        for word, (stem, ending) in parts.items():
+            young[word] = young[stem] + young[ending]
 
     def _cased(self, raw: bytes) -> bytes:
         """The text in lower case, or as it stands where that could change its ids."""
@@ -78,25 +114,34 @@ class WordEncoder:
                 return raw
         return low
 
+    def _run(self, texts: list[bytes]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        if len(self.young) > self.memo:
+            self.old, self.young = self.young, {b"": b""}
+        ids = list(map(self.young.get, distinct))
+        if None in ids:
+            self._learn([w for w, x in zip(distinct, ids, strict=True) if x is None])
+            ids = list(map(self.young.__getitem__, distinct))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        held = np.frombuffer(b"".join(ids), dtype="<u4")
+        number = coded.indices.to_numpy()
+        lengths = sizes[number]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if total + len(held) < 2**31 else np.int64
+        places = np.repeat((starts[number] - ends + lengths).astype(kind), lengths)
+        places += np.arange(total, dtype=kind)
+        raw = held.take(places).tobytes()
+        bounds = np.concatenate([[0], 4 * ends])[words.offsets.to_numpy()].tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        raws = texts.cast(pa.binary()).to_pylist()
-        out: list[bytes] = []
-        for i in range(0, len(raws), 64):
-            words = [self._cased(raw).split() for raw in raws[i : i + 64]]
-            if len(self.young) > self.memo:
-                self.old, self.young = self.young, {}
-            get = self.young.get
-            found = [list(map(get, ws)) for ws in words]
-            missing: set[bytes] = set()
-            for ws, ids in zip(words, found, strict=True):
-                if None in ids:
-                    missing.update([w for w, x in zip(ws, ids) if x is None])
-            if missing:
-                self._learn(missing)
-            for ws, ids in zip(words, found, strict=True):
-                out.append(b"".join(map(get, ws) if None in ids else ids))
-        return out
+        raws = [self._cased(raw) for raw in texts.cast(pa.binary()).to_pylist()]
+        return [ids for run in _chunks(raws, self.run) for ids in self._run(run)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

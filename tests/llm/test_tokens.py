@@ -20,6 +20,7 @@ from .helpers import documents, rows_of
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PLAIN = Tokenizer.from_file(VOCABULARY)
 ENCODER = WordEncoder(VOCABULARY, memo=50)
+SHORT_RUNS = WordEncoder(VOCABULARY, memo=7, run=30)
 
 TEXTS = [
     (0, "A first text, with words."),
@@ -172,3 +173,20 @@ def test_upper_case_special_token_is_plain_text():
     text = "A <|ENDOFTEXT|> b <|endoftext|> C"
     assert ids("<|ENDOFTEXT|>") == [27, 347, 40786, 4160, 91, 285]
     assert ENCODER.encode(pa.array([text])) == [packed(ids(text))]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*CASED, "don't.", "it's!!", "été,", "a1.", "x...", "...", "a&b&", "B#$"]), max_size=9))
+def test_marks_at_the_end_and_short_runs(parts):
+    text = " ".join(parts)
+    for encoder in (ENCODER, SHORT_RUNS):
+        got = encoder.encode(pa.array([text, "", text[::-1]]))
+        assert got == [packed(ids(t)) for t in (text, "", text[::-1])]
+
+
+def test_reading_needs_no_join(spark):
+    docs = documents(spark, TEXTS)
+    listed = token_files.write_ids(docs, token_files.new_folder(spark), VOCABULARY)
+    plan = token_files.read_ids(listed)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan and "SinglePartition" not in plan
+    assert listed.count() > 4
