@@ -121,3 +121,129 @@ WITH RECURSIVE word AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM component LEFT JOIN size USING (doc_id)
 """
+
+ORACLE["op11_hard_negatives"] = """
+WITH part AS (
+    SELECT
+        vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), score AS (
+    SELECT
+        a.vec_id AS anchor_id,
+        b.vec_id,
+        a.label = b.label AS same,
+        CAST(coalesce(list_sum(list_transform(list_zip(a.vector, b.vector), lambda z: z[1] * z[2])), 0)
+            AS BIGINT) AS score
+    FROM part a JOIN part b ON a.vec_id % 100 = 0
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM score
+    WHERE same AND vec_id <> anchor_id
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT
+    anchor_id,
+    positive_id,
+    CAST(row_number() OVER (
+        PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id,
+    positive_score,
+    score AS negative_score
+FROM positive JOIN score USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _leaf(text: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    parts = [f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(nodes: str, tree: str, levels: int) -> str:
+    """Levels of the trees over ``<nodes>0`` (the tree, p, h, n), as further tables."""
+    return ", ".join(
+        f"""{nodes}{i + 1} AS (
+    SELECT {tree}, p // 16 AS p, sha256(string_agg(h, '' ORDER BY p)) AS h, (n + 15) // 16 AS n
+    FROM {nodes}{i} WHERE n > 1 GROUP BY {tree}, p // 16, n
+)"""
+        for i in range(levels)
+    )
+
+
+def _proof(nodes: str, tree: str, levels: int, place: str) -> str:
+    """What stands left and right of every row's ancestors, for each level."""
+    return ", ".join(
+        f"""{nodes}_step{i} AS (
+    SELECT r.row_id,
+        coalesce(string_agg(x.h, '' ORDER BY x.p) FILTER (x.p < r.{place} // {16**i}), '') AS l,
+        coalesce(string_agg(x.h, '' ORDER BY x.p) FILTER (x.p > r.{place} // {16**i}), '') AS r
+    FROM whole r JOIN {nodes}{i} x
+        ON x.{tree} IS NOT DISTINCT FROM r.{tree} AND x.n > 1 AND x.p // 16 = r.{place} // {16 ** (i + 1)}
+    GROUP BY r.row_id
+)"""
+        for i in range(levels)
+    )
+
+
+def _folds(steps: list[str]) -> str:
+    """One table after the other, each with the steps of one more level folded in."""
+    out = []
+    before = "whole"
+    for i, step in enumerate(steps):
+        out.append(
+            f"""fold{i} AS (
+    SELECT b.* REPLACE (
+        CASE WHEN s.row_id IS NULL THEN b.folded ELSE sha256(s.l || b.folded || s.r) END AS folded,
+        b.siblings || coalesce(s.l || s.r, '') AS siblings)
+    FROM {before} b LEFT JOIN {step} s USING (row_id)
+)"""
+        )
+        before = f"fold{i}"
+    return ", ".join(out)
+
+
+_DOC_LEVELS, _SOURCE_LEVELS = 6, 3
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH base AS (
+    SELECT doc_id, source, {_leaf("text")} AS leaf,
+        CASE WHEN {_CRC32} % 5 = 0
+            THEN {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} END AS other
+    FROM documents
+), doc AS (
+    SELECT *, row_number() OVER () AS row_id,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+        count(*) OVER (PARTITION BY source) AS n
+    FROM base
+), d0 AS (SELECT source, p, leaf AS h, n FROM doc),
+{_tree("d", "source", _DOC_LEVELS)}
+, top AS ({" UNION ALL ".join(f"SELECT source, h FROM d{i} WHERE n = 1" for i in range(_DOC_LEVELS + 1))}
+), t0 AS (
+    SELECT 1 AS forest, source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS p, h,
+        count(*) OVER () AS n
+    FROM top
+), {_tree("t", "forest", _SOURCE_LEVELS)}
+, root AS ({" UNION ALL ".join(f"SELECT h FROM t{i} WHERE n = 1" for i in range(_SOURCE_LEVELS + 1))}
+), whole AS (
+    SELECT d.doc_id, d.source, d.leaf, d.row_id, d.p AS place, t.p AS source_place, 1 AS forest,
+        t.h AS subroot, root.h AS root, coalesce(d.other, d.leaf) AS folded, '' AS siblings
+    FROM doc d JOIN t0 t ON t.source IS NOT DISTINCT FROM d.source, root
+), {_proof("d", "source", _DOC_LEVELS, "place")}
+, {_proof("t", "forest", _SOURCE_LEVELS, "source_place")}
+, {_folds([f"d_step{i}" for i in range(_DOC_LEVELS)] + [f"t_step{i}" for i in range(_SOURCE_LEVELS)])}
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded AS folded_root,
+    folded = root AS verified
+FROM fold{_DOC_LEVELS + _SOURCE_LEVELS - 1}
+"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,14 +10,15 @@ from pyspark.sql import functions as F
 
 from lakestrata.session import tune
 
-from . import packing, quality, token_files, toxicity, warc
+from . import html_text, merkle, packing, quality, token_files, toxicity, warc
 from .decontaminate import find_leaks
 from .fingerprints import fingerprints
+from .hard_negatives import hard_negatives
 from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
 from .near_dedup import NearDuplicates
 from .oracle import ORACLE
-from .shared import work_dir
+from .shared import in_fold, work_dir
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -85,6 +87,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(listed)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    return hard_negatives(
+        table(spark, sf_dir, "embeddings"),
+        is_anchor=F.col("vec_id") % 100 == 0,
+        label=F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return merkle.manifest(docs, in_fold(F.col("doc_id"), 5, 0), lowered)
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -96,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spot_signatures": op8_spot_signatures,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_html_text": op13_html_text,
 }
