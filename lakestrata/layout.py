@@ -1,8 +1,9 @@
-"""Where the raw zone keeps a day, and how its delimited files are written."""
+"""Where the raw zone keeps a day, tables their versions, and how delimited files are written."""
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from datetime import UTC, date, datetime
 
 # A header row; a quote inside a quoted field is doubled.
 # Blanks at the ends of a value belong to it.
@@ -22,3 +23,18 @@ DELIMITED_READ = {**DELIMITED, "nullValue": "\0", "emptyValue": ""}
 def day_path(path: str, run_date: date) -> str:
     """Folder of one day, named so that Spark finds the partitions."""
     return f"{path}/year={run_date:%Y}/month={run_date:%m}/day={run_date:%d}"
+
+
+VERSION = "version="
+
+# Beside landed documents: their fields and types, by set of fields. Readers skip the name.
+SCHEMAS = "_schemas"
+KEPT = (
+    "schema_id string, schema_key string, fields array<struct<name: string, type: string>>,"
+    " schema string"
+)
+
+
+def new_version() -> str:
+    """A folder name for a new version of a table's data; later ones sort behind earlier ones."""
+    return f"{VERSION}{datetime.now(UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"

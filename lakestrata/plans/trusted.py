@@ -20,6 +20,7 @@ from lakestrata.schemas import (
     DOCUMENT,
     DOCUMENT_LISTS,
     DOCUMENT_UNUSED,
+    KEEP_VERSIONS,
     LOCAL_UNUSED,
     TRUSTED_DATABASE,
     file_schema,
@@ -27,7 +28,9 @@ from lakestrata.schemas import (
 from lakestrata.session import replaced_folder
 from lakestrata.sinks import save_table
 from lakestrata.sources import (
+    column_names,
     document_fields,
+    landed_fields,
     read_delimited,
     read_document_arrays,
     read_document_lines,
@@ -77,7 +80,8 @@ def run_local(
 ) -> str:
     contract = file_schema([*renames, *LOCAL_UNUSED])
     raw = read_delimited(spark, source, contract=contract, multi_line=multi_line)
-    return save_table(trusted_local_rows(raw, renames, artist), database, table, target)
+    rows = trusted_local_rows(raw, renames, artist)
+    return save_table(rows, database, table, target, keep_versions=KEEP_VERSIONS)
 
 
 def run_documents(
@@ -92,19 +96,28 @@ def run_documents(
 ) -> str:
     """One batch of documents: one object per line, as they land, or files of JSON ``arrays``.
 
-    All fields are kept. Those that ``DOCUMENT`` does not declare are JSON text; to find
-    their names the documents are read once more, unless a ``schema`` says what to read.
+    All fields are kept. Those that ``DOCUMENT`` does not declare have the types that the
+    landing has kept. Where it has kept none they are JSON text, and the documents are read once
+    more to find their names, unless a ``schema`` says what to read. A field whose name differs
+    from a column's only in case, or is that of a column made from a list, gets a number behind it.
     A record that is no document ends the job; with ``quarantine`` such lines are written
     to that folder, with the name of their file, and the others go on.
     """
     if quarantine and arrays:
         raise ValueError("quarantine takes lines; a file that is no array is always an error")
     if schema is None:
-        schema = with_fields(DOCUMENT, document_fields(spark, source, arrays))
+        fields = landed_fields(spark, source)
+        if fields is None:
+            fields = document_fields(spark, source, arrays)
+        schema = with_fields(DOCUMENT, fields)
+    made = [column for columns in DOCUMENT_LISTS.values() for column in columns]
+    names = column_names(schema, made)
     if quarantine:
-        rows, bad = split_bad_lines(spark, source, schema)
+        rows, bad = split_bad_lines(spark, source, schema, names)
         with replaced_folder(spark, quarantine) as folder:
             bad.write.parquet(folder)
     else:
-        rows = (read_document_arrays if arrays else read_document_lines)(spark, source, schema)
-    return save_table(trusted_document_rows(rows), database, table, target)
+        read = read_document_arrays if arrays else read_document_lines
+        rows = read(spark, source, schema, names=names)
+    rows = trusted_document_rows(rows)
+    return save_table(rows, database, table, target, keep_versions=KEEP_VERSIONS)

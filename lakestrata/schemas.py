@@ -75,6 +75,8 @@ UNIFIED_MOVIES = "unified_movies_table"
 UNIFIED_SERIES = "unified_series_table"
 # --- End of fixed values ----------------------------------------------------
 
+# Earlier versions of a table's data that its job leaves, for queries that still read them.
+KEEP_VERSIONS = 1
 
 INT, LONG, STRING, BOOLEAN = T.IntegerType(), T.LongType(), T.StringType(), T.BooleanType()
 

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestrata.layout import VERSION
+
 # Adaptive execution re-plans joins on measured sizes, cuts hot join partitions
 # and hot sink partitions into several tasks, and merges tiny ones. The
 # "force" switch lets it cut a hot key even if a later join on the same key then
@@ -88,6 +90,38 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder, sorted; none if there is no such folder."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place) or not system.getFileStatus(place).isDirectory():
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place))
+
+
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern with ``*`` for names matches, sorted."""
+    system, place = _file_system(spark, pattern)
+    return sorted(status.getPath().toString() for status in system.globStatus(place) or [])
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The complete versions of a table's data below ``path``, the oldest first.
+
+    Spark marks the folder of a write that has ended with an empty file.
+    """
+    path = path.rstrip("/")
+    system, _ = _file_system(spark, path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    named = [name for name in children(spark, path) if name.startswith(VERSION)]
+    return [name for name in named if system.exists(at(f"{path}/{name}/_SUCCESS"))]
+
+
+def current_data(spark: SparkSession, path: str) -> str:
+    """The folder of the newest complete version below ``path``, or ``path`` if it has none."""
+    found = versions(spark, path)
+    return f"{path.rstrip('/')}/{found[-1]}" if found else path
+
+
 @contextmanager
 def replaced_folder(spark: SparkSession, path: str) -> Iterator[str]:
     """A new folder beside ``path`` to write to; it takes the place of ``path`` at the end.

@@ -1,8 +1,24 @@
+"""Tables that keep their identity: a run writes a new version of the data, then switches to it.
+
+The data of a table lies in ``<path>/version=<time>-<mark>``. A run writes a folder of its own
+and makes it current by one step in the catalog, ``ALTER TABLE .. SET LOCATION``. No folder is
+moved, so an object store copies nothing, and whoever reads the table by name has the old rows
+or the new ones at any time. A run that dies before the switch leaves the table as it was.
+"""
+
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from lakestrata.layout import new_version
+from lakestrata.session import children, remove_folder, tune, versions
 
-from lakestrata.session import replaced_folder, tune
+# File source tables then find partitions by listing their location, so that a new location
+# brings its own partitions; otherwise the catalog would go on naming those of the old one.
+_LISTED = "spark.sql.hive.manageFilesourcePartitions"
 
 
 def save_table(
@@ -13,31 +29,160 @@ def save_table(
     partition_by: list[str] | None = None,
     max_records_per_file: int = 0,
     rebalance: bool = False,
+    keep_versions: int = 0,
 ) -> str:
-    """Write Parquet to ``path`` and register it as ``database.table``; return that name.
+    """Write Parquet below ``path`` and make it the data of ``database.table``; return that name.
 
-    A second run replaces data and catalog columns, once all its data is written: a run
-    that fails leaves data and table as they were. Files are as many as the last stage
-    has tasks; ``rebalance`` adds a shuffle that evens them out.
+    A second run replaces the rows, once all its data is written: a run that fails leaves data
+    and table as they were. The table itself stays, with its properties. New columns are added
+    to it, behind those it has. Only where columns are taken away, change their type, or
+    other ones partition the table is it defined anew, with the properties it had.
+
+    ``keep_versions`` earlier versions of the data stay, for queries that still read them;
+    older ones go, after the switch. ``sources.read_parquet`` reads the newest complete version
+    of a path, and any reader does where no earlier one stays. Files are as many as the last stage has tasks; ``rebalance`` adds a shuffle that
+    evens them out.
     """
     spark = tune(df.sparkSession)
     name = f"`{database}`.`{table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    path = path.rstrip("/")
+    partitions = list(partition_by or [])
+    columns = _table_columns(df.schema, partitions)
     if rebalance:
-        df = df.hint("rebalance", *(partition_by or []))
+        df = df.hint("rebalance", *partitions)
     writer = df.write
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    with replaced_folder(spark, path) as folder:
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    folder = f"{path}/{new_version()}"
+    try:
         writer.parquet(folder)
-    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    columns = df._jdf.schema().toDDL()
-    place = str(path).replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{place}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
+        switch(spark, name, columns, partitions, folder)
+    except BaseException:
+        remove_folder(spark, folder)
+        raise
+    _retire(spark, path, folder, keep_versions)
     return name
+
+
+def _table_columns(schema: T.StructType, partitions: Sequence[str]) -> T.StructType:
+    """The columns in the order of a table: partition columns come last. All may be null."""
+    held = {f.name: f.dataType for f in schema.fields}
+    names = [n for n in held if n not in partitions] + list(partitions)
+    return T.StructType([T.StructField(n, _nullable(held[n])) for n in names])
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type as Parquet tables read it back: any part may be null."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    return kind
+
+
+def switch(
+    spark: SparkSession,
+    name: str,
+    columns: T.StructType,
+    partitions: Sequence[str],
+    folder: str,
+) -> None:
+    """Make ``folder`` the data of the table, which is created if it is not there.
+
+    Added columns come before the switch: rows of the old version have null in them.
+    """
+    place = _quoted(folder)
+    if not spark.catalog.tableExists(name):
+        _create(spark, name, columns, partitions, folder, {})
+        return
+    held = _nullable(spark.table(name).schema)
+    kept = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    added = _added(held, columns, len(kept))
+    if kept != list(partitions) or added is None:
+        properties = _properties(spark, name)
+        spark.sql(f"DROP TABLE {name}")
+        _create(spark, name, columns, partitions, folder, properties)
+        return
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
+
+
+def _added(held: T.StructType, wanted: T.StructType, n_partitions: int) -> list | None:
+    """The columns to add to ``held``; None if it has columns that are not wanted as they are.
+
+    A table takes new columns behind its data columns, in front of its partition columns.
+    """
+    wanted_types = {f.name: f.dataType for f in wanted.fields}
+    if any(wanted_types.get(f.name) != f.dataType for f in held.fields):
+        return None
+    known = set(held.names)
+    return [f for f in wanted.fields[: len(wanted.fields) - n_partitions] if f.name not in known]
+
+
+def _ddl(fields: Sequence[T.StructField]) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {_type(f.dataType)}" for f in fields)
+
+
+def _type(kind: T.DataType) -> str:
+    """The type as SQL, with the names of struct fields quoted."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ", ".join(
+            f"`{f.name.replace('`', '``')}`: {_type(f.dataType)}" for f in kind.fields
+        ) + ">"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_type(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{_type(kind.keyType)}, {_type(kind.valueType)}>"
+    return kind.simpleString()
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _create(
+    spark: SparkSession,
+    name: str,
+    columns: T.StructType,
+    partitions: Sequence[str],
+    folder: str,
+    properties: dict[str, str],
+) -> None:
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
+    kept = ", ".join(f"'{_quoted(k)}' = '{_quoted(v)}'" for k, v in properties.items())
+    before = spark.conf.get(_LISTED)
+    spark.conf.set(_LISTED, "false")
+    try:
+        spark.sql(
+            f"CREATE TABLE {name} ({_ddl(columns.fields)}) USING parquet {parts}"
+            f" LOCATION '{_quoted(folder)}' {f'TBLPROPERTIES ({kept})' if kept else ''}"
+        )
+    finally:
+        spark.conf.set(_LISTED, before)
+    spark.catalog.refreshTable(name)
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """The properties users have set; the catalog keeps others of its own."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    own = ("spark.sql.", "transient_", "numFiles", "totalSize", "EXTERNAL")
+    return {r["key"]: r["value"] for r in rows if not r["key"].startswith(own)}
+
+
+def _retire(spark: SparkSession, path: str, current: str, keep: int) -> None:
+    """Remove all but ``keep`` versions before the current one, and what lay there without one."""
+    mine = current.rpartition("/")[2]
+    earlier = [v for v in versions(spark, path) if v < mine]
+    for version in earlier[: len(earlier) - keep]:
+        remove_folder(spark, f"{path}/{version}")
+    if len(earlier) >= keep:
+        for child in children(spark, path):
+            if not child.startswith(("version=", "_", ".")):
+                remove_folder(spark, f"{path}/{child}")
