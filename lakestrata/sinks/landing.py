@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import hashlib
+import json
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.functions import date_parts
-from lakestrata.layout import DELIMITED, day_path
+from lakestrata.functions.document_types import TEXT, merged_types, types_by_key
+from lakestrata.layout import DELIMITED, KEPT, SCHEMAS, day_path
 from lakestrata.operators.grouping import (
     chunk_copies,
     chunk_within,
@@ -102,9 +106,14 @@ def land_chunks(
     JSON array in a folder ``chunk=<number>``. This costs a range shuffle and
     one folder per chunk: for a moderate number of documents. A run that fails
     leaves the documents as they were.
+
+    The fields of the documents and their types are merged for each set of keys by the tasks
+    that land them, and kept in the folder ``_schemas``, so that readers need not look for them.
     """
     spark = tune(df.sparkSession)
+    seen = Observation()
     keyed = df.withColumn("schema_id", F.md5(F.coalesce(group, F.lit(""))))
+    keyed = keyed.observe(seen, merged_types(payload, group).alias("types"))
     if order_by is None:
         # Outside of strings a line break means nothing in JSON, inside it is escaped.
         line = F.regexp_replace(payload, r"[\r\n]+", " ").alias(payload)
@@ -124,3 +133,17 @@ def land_chunks(
         writer = arrays.write.partitionBy("schema_id", "chunk")
     with replaced_folder(spark, path) as folder:
         writer.text(folder)
+        kept = spark.createDataFrame(_schema_rows(seen.get["types"]), KEPT)
+        kept.coalesce(1).write.json(f"{folder}/{SCHEMAS}")
+
+
+def _schema_rows(types: str | None) -> list[tuple]:
+    """``KEPT`` for each set of keys. Keys whose types are unknown are text."""
+    rows = []
+    for key, fields in sorted(types_by_key(types).items()):
+        names = sorted(fields) if fields is not None else json.loads(key or "[]")
+        kinds = fields or dict.fromkeys(names, TEXT)
+        schema = T.StructType([T.StructField(n, kinds[n]) for n in names])
+        fields = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+        rows.append((hashlib.md5(key.encode()).hexdigest(), key, fields, schema.json()))
+    return rows

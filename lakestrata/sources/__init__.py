@@ -2,7 +2,10 @@
 
 from lakestrata.sources.delimited import read_delimited, read_landed, read_landed_day
 from lakestrata.sources.documents import (
+    column_names,
     document_fields,
+    landed_fields,
+    landed_schemas,
     read_document_arrays,
     read_document_lines,
     read_objects,
@@ -12,7 +15,10 @@ from lakestrata.sources.documents import (
 from lakestrata.sources.tables import read_parquet, read_table
 
 __all__ = [
+    "column_names",
     "document_fields",
+    "landed_fields",
+    "landed_schemas",
     "read_delimited",
     "read_document_arrays",
     "read_document_lines",

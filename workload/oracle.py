@@ -329,6 +329,18 @@ ORACLE: dict[str, str] = {
     "unified_movies_job_documents": _unified(_trusted_local(), us=False),
     "trusted_documents_landed": _TITLE_DOCUMENTS,
     "trusted_documents_landed_arrays": _TITLE_DOCUMENTS,
+    "trusted_documents_typed": f"""
+        SELECT imdb_id,
+               CASE WHEN rating IS NOT NULL THEN CAST(length(imdb_id) + 0.5 AS DOUBLE) END AS "Budget",
+               CASE WHEN rating IS NULL THEN length(imdb_id) END AS budget_2,
+               CASE WHEN rating IS NOT NULL THEN imdb_id END AS rating_of,
+               CASE WHEN rating IS NULL THEN length(imdb_id) + 1 END AS vote,
+               genre_name, company_name, production_country_name, spoken_language_name
+        FROM ({_TITLE_DOCUMENTS}) t""",
+    "landed_schemas": f"""
+        SELECT DISTINCT md5(schema_key) AS schema_id, schema_key, name,
+               CASE WHEN name IN ('type', 'code') THEN 'string' ELSE 'bigint' END AS type
+        FROM ({_EVENT_KEYS}) k, unnest(json_keys(CAST(payload AS JSON))) AS f(name)""",
     "landed_values": """
         SELECT CAST(o_orderkey AS VARCHAR) AS id,
                '  ' || o_orderpriority || ' |"' || chr(10) || ' ' || o_orderstatus || '  ' AS note

@@ -533,8 +533,8 @@ def _trusted_titles(spark, d, order_by: str | None) -> DataFrame:
     name = plans.run_documents(spark, landed, target, table_name, arrays=order_by is not None)
     return sources.read_table(spark, name).select(
         "imdb_id",
-        "budget",
-        "rating",
+        F.col("budget").cast("string").alias("budget"),
+        F.to_json("rating").alias("rating"),
         "genre_name",
         "company_name",
         "production_country_name",
@@ -552,6 +552,44 @@ def trusted_documents_landed_arrays(spark, d):
     return _trusted_titles(spark, d, "imdb_id")
 
 
+@query
+def trusted_documents_typed(spark, d):
+    """Fields with the types the landing has kept, two of them alike but for case."""
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "trusted")
+    titles = _title_documents(spark, d).drop("budget")
+    n = F.length("imdb_id").cast("bigint")
+    odd = F.col("rating").isNull()
+    payload = F.struct(
+        "*",
+        F.when(odd, n).alias("budget"),
+        F.when(~odd, n + F.lit(0.5)).alias("Budget"),
+        F.when(odd, F.array(n, n + 1)).alias("votes"),
+    )
+    rows = titles.select("imdb_id", F.to_json(payload).alias("payload"))
+    sinks.land_chunks(rows.transform(op.with_schema_key), landed)
+    name = plans.run_documents(spark, landed, target, "trusted_titles_typed")
+    return sources.read_table(spark, name).select(
+        "imdb_id",
+        "Budget",
+        "budget_2",
+        F.col("rating.of").alias("rating_of"),
+        F.element_at("votes", 2).alias("vote"),
+        "genre_name",
+        "company_name",
+        "production_country_name",
+        "spoken_language_name",
+    )
+
+
+@query
+def landed_schemas(spark, d):
+    """The fields and types of each set of keys, as the landing has kept them."""
+    path = work_dir(spark, "chunks")
+    sinks.land_chunks(event_documents(spark, d).transform(op.with_schema_key), path)
+    kept = sources.landed_schemas(spark, path)
+    return kept.select("schema_id", "schema_key", F.inline("fields"))
+
+
 @query
 def landed_values(spark, d):
     """Values with blanks, separators, quotes and line breaks, through the landing job and back."""
