@@ -29,6 +29,8 @@ VERSION = "version="
 
 # Beside landed documents: their fields and types, by set of fields. Readers skip the name.
 SCHEMAS = "_schemas"
+# Beside compacted documents: where the records of each landed file are.
+INDEX = "_index"
 KEPT = (
     "schema_id string, schema_key string, fields array<struct<name: string, type: string>>,"
     " schema string"

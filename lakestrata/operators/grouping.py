@@ -92,6 +92,22 @@ def chunk_within(
     return number_within(df, group, order_by).withColumn("chunk", _chunk("position", size))
 
 
+def running_sum(
+    df: DataFrame, group: str, order_by: str | Sequence[str], weight: str, name: str
+) -> DataFrame:
+    """Add the sum of ``weight`` over the rows of the group up to and with this one.
+
+    It is that of a window by group, without the window's one task per group. ``order_by``
+    should identify a row in its group, as for ``number_within``.
+    """
+    rows = _place(df, group, order_by, F.col(weight))
+    so_far = Window.partitionBy(group, "_task").orderBy("_place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    total = F.col("_before") + F.sum(weight).over(so_far)
+    return rows.withColumn(name, total).select(*df.columns, name)
+
+
 def chunk_copies(
     df: DataFrame,
     group: str,
@@ -104,11 +120,7 @@ def chunk_copies(
     One row per row and chunk it reaches into, with its first ``position`` there
     and the ``copies`` that fall into the chunk.
     """
-    rows = _place(df, group, order_by, F.col(copies))
-    so_far = Window.partitionBy(group, "_task").orderBy("_place").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ends = rows.withColumn("_end", F.col("_before") + F.sum(copies).over(so_far)).withColumn(
+    ends = running_sum(df, group, order_by, copies, "_end").withColumn(
         "_start", F.col("_end") - F.col(copies) + 1
     )
     chunks = _each(ends, "chunk", _chunk("_start", size), _chunk("_end", size))

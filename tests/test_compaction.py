@@ -1,0 +1,132 @@
+"""Small landed files are put together, and every record is found again."""
+
+import json
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata import operators as op
+from lakestrata import plans, sinks, sources
+from lakestrata.layout import INDEX, day_path
+from lakestrata.schemas import LONG, STRING, struct
+from lakestrata.session import work_dir
+from lakestrata.sinks import compaction
+
+
+def local(path):
+    return path.removeprefix("file://").removeprefix("file:")
+
+
+def documents(spark, n):
+    """Nearly all have one set of keys."""
+    text = F.when(F.col("id") % 50 == 0, F.format_string('{"a":%d,"b":"é"}', "id")).otherwise(
+        F.format_string('{"a":%d}', "id")
+    )
+    return spark.range(0, n, 1, 5).select("id", text.alias("payload")).transform(op.with_schema_key)
+
+
+def text_files(path):
+    return [
+        os.path.join(root, name)
+        for root, _, names in os.walk(local(path))
+        for name in names
+        if name.endswith(".txt")
+    ]
+
+
+@pytest.mark.parametrize("order_by", [None, "id"])
+def test_every_record_is_found_at_its_new_place(spark, order_by):
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "compact ed+%")
+    sinks.land_chunks(documents(spark, 3000), landed, order_by=order_by)
+    sinks.compact_documents(spark, landed, target, bin_bytes=4000, arrays=order_by is not None)
+    before = text_files(landed)
+    after = text_files(target)
+    assert len(after) < len(before) / 2
+    index = spark.read.parquet(f"{target}/{INDEX}").collect()
+    assert {r["file"] for r in index} == {os.path.relpath(f, local(landed)) for f in before}
+    lines = {}
+    for name in after:
+        with open(name) as f:
+            key = tuple(x.partition("=")[2] for x in name.split("/")[-3:-1])
+            assert key not in lines
+            lines[key] = f.read().splitlines()
+    for r in index:
+        with open(os.path.join(local(landed), r["file"])) as f:
+            text = f.read()
+        old = [json.loads(x) for x in text.splitlines()] if order_by is None else json.loads(text)
+        new = lines[r["schema_id"], str(r["bin"])][r["first_line"] - 1 :][: r["records"]]
+        assert [json.loads(x) for x in new] == old and len(old) == r["records"]
+    got = sources.read_document_lines(spark, target, struct(a=LONG, b=STRING))
+    assert sorted(r["a"] for r in got.collect()) == list(range(3000))
+
+
+def test_bins_are_full_and_no_file_is_cut(spark):
+    files = spark.range(0, 5000, 1, 7).select(
+        F.format_string("f%05d", "id").alias("file"),
+        F.when(F.col("id") % 9 == 0, "few").otherwise("most").alias("g"),
+        (F.col("id") % 40 + 1).alias("size"),
+    )
+    rows = compaction.assign_bins(files, "g", "file", "size", 500).collect()
+    for group in ("few", "most"):
+        end, held = 0, {}
+        for r in sorted((r for r in rows if r["g"] == group), key=lambda r: r["file"]):
+            assert r["bin"] == end // 500
+            end += r["size"]
+            held[r["bin"]] = held.get(r["bin"], 0) + r["size"]
+        assert all(500 - 40 < size < 500 + 40 for size in list(held.values())[:-1])
+    assert len(rows) == 5000
+
+
+def test_a_file_larger_than_a_bin_and_empty_ones(spark):
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "target")
+    texts = ["\n".join(f'{{"a":{i}}}' for i in range(300)), "", "\n\n", '{"a":-1}\n']
+    rows = spark.createDataFrame([(t, f"k{i}") for i, t in enumerate(texts)], "value string, schema_id string")
+    rows.write.partitionBy("schema_id").text(landed)
+    sinks.compact_documents(spark, landed, target, bin_bytes=100)
+    got = sources.read_document_lines(spark, target, struct(a=LONG))
+    assert sorted(r["a"] for r in got.collect()) == [-1, *range(300)]
+    assert sorted(r["records"] for r in spark.read.parquet(f"{target}/{INDEX}").collect()) == [1, 300]
+
+
+def test_records_are_fetched_from_the_files_that_hold_them(spark):
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "target")
+    sinks.land_chunks(documents(spark, 1000), landed)
+    sinks.compact_documents(spark, landed, target, bin_bytes=2000)
+    files = sorted(r["file"] for r in spark.read.parquet(f"{target}/{INDEX}").collect())
+    asked = [(files[0], 1), (files[0], 1), (files[-1], 2), (files[2], 10**6), (files[2], 0), ("none", 1)]
+    wanted = spark.createDataFrame(asked, "file string, record int")
+    got = sorted(map(tuple, sinks.fetch_records(spark, target, wanted).collect()))
+    want = []
+    for file, record in asked[:3]:
+        with open(os.path.join(local(landed), file)) as f:
+            want.append((file, record, f.read().splitlines()[record - 1]))
+    assert got == sorted(want)
+
+
+def test_several_days_and_their_types(spark):
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "target")
+    for day in (1, 2):
+        rows = spark.createDataFrame([(json.dumps({"imdb_id": "x", "n": day / 2}),)], "payload string")
+        sinks.land_chunks(rows.transform(op.with_schema_key), day_path(landed, date(2023, 11, day)))
+    for _ in range(2):
+        sinks.compact_documents(spark, landed, target)
+    assert len(text_files(target)) == 1
+    assert sources.landed_fields(spark, target) == sources.landed_fields(spark, landed)
+    assert sources.landed_fields(spark, target)["n"].simpleString() == "double"
+    name = plans.run_documents(spark, target, work_dir(spark, "trusted"), "compacted_days")
+    assert "n" in spark.table(name).columns
+
+
+def test_contents_are_read_once_and_not_numbered(spark, monkeypatch):
+    seen = []
+    real = compaction.running_sum
+    monkeypatch.setattr(compaction, "running_sum", lambda df, *a: seen.append(df.columns) or real(df, *a))
+    reads = []
+    objects = compaction.read_objects
+    monkeypatch.setattr(compaction, "read_objects", lambda *a: reads.append(a) or objects(*a))
+    landed = work_dir(spark, "landed")
+    sinks.land_chunks(documents(spark, 500), landed)
+    sinks.compact_documents(spark, landed, work_dir(spark, "target"))
+    assert seen == [["file", "schema_id", "records", "bytes"]] and len(reads) == 1

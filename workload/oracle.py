@@ -337,6 +337,8 @@ ORACLE: dict[str, str] = {
                CASE WHEN rating IS NULL THEN length(imdb_id) + 1 END AS vote,
                genre_name, company_name, production_country_name, spoken_language_name
         FROM ({_TITLE_DOCUMENTS}) t""",
+    "compacted_documents": _TITLE_DOCUMENTS,
+    "compacted_records": f"SELECT payload, TRUE AS bounded FROM ({_EVENT_KEYS}) k",
     "landed_schemas": f"""
         SELECT DISTINCT md5(schema_key) AS schema_id, schema_key, name,
                CASE WHEN name IN ('type', 'code') THEN 'string' ELSE 'bigint' END AS type

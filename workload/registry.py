@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakestrata import functions as fn
 from lakestrata import operators as op
 from lakestrata import plans, schemas, sinks, sources
-from lakestrata.layout import day_path
+from lakestrata.layout import INDEX, day_path
 from lakestrata.schemas import INT, LONG, STRING
 from lakestrata.session import tune, work_dir
 from workload.inputs import (
@@ -581,6 +581,37 @@ def trusted_documents_typed(spark, d):
     )
 
 
+@query
+def compacted_documents(spark, d):
+    """The trusted rows of documents whose small files have been put together."""
+    landed, compacted, target = (work_dir(spark, n) for n in ("landed", "compacted", "trusted"))
+    rows = _title_documents(spark, d).select("imdb_id", F.to_json(F.struct("*")).alias("payload"))
+    sinks.land_chunks(rows.transform(op.with_schema_key), landed)
+    sinks.compact_documents(spark, landed, compacted, bin_bytes=1 << 20)
+    name = plans.run_documents(spark, compacted, target, "trusted_titles_compacted")
+    return sources.read_table(spark, name).select(
+        "imdb_id",
+        F.col("budget").cast("string").alias("budget"),
+        F.to_json("rating").alias("rating"),
+        "genre_name",
+        "company_name",
+        "production_country_name",
+        "spoken_language_name",
+    )
+
+
+@query
+def compacted_records(spark, d):
+    """Every landed record, fetched by its file and its number there from the compacted files."""
+    landed, compacted = work_dir(spark, "landed"), work_dir(spark, "compacted")
+    sinks.land_chunks(event_documents(spark, d).transform(op.with_schema_key), landed)
+    sinks.compact_documents(spark, landed, compacted, bin_bytes=1 << 16)
+    files = spark.read.parquet(f"{compacted}/{INDEX}")
+    wanted = files.select("file", F.explode(F.sequence(F.lit(1), "records")).alias("record"))
+    fetched = sinks.fetch_records(spark, compacted, wanted)
+    return fetched.select("payload", (F.col("record") <= schemas.CHUNK_SIZE).alias("bounded"))
+
+
 @query
 def landed_schemas(spark, d):
     """The fields and types of each set of keys, as the landing has kept them."""
