@@ -7,6 +7,7 @@ from lakestrata.operators.grouping import (
     chunk_within,
     encode_chunks,
     number_within,
+    ordered_chunks,
     repeat_copies,
     schema_groups,
     split_copies,
@@ -54,6 +55,7 @@ __all__ = [
     "keep_equal",
     "known_pairs",
     "number_within",
+    "ordered_chunks",
     "project_key",
     "rename_fields",
     "repeat_copies",

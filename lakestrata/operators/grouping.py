@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.functions import schema_key
 from lakestrata.schemas import CHUNK_SIZE
@@ -144,12 +145,177 @@ def repeat_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy", copies)
 
 
+class _Ranges:
+    """Ranges of ordered rows, one for each task, known from the rows' keys alone.
+
+    Range t begins at ``lows[t]`` (the group and the keys). Of the group it begins in, ``bases[t]``
+    places lie in ranges before; of the one it ends in, ``ends[t]`` lie up to its end. A chunk
+    belongs to the range its first place is in. If that is an earlier one, the rows up to
+    ``highs[t]`` go to range ``owners[t]`` too.
+    """
+
+    def __init__(self, rows: list[dict], size: int) -> None:
+        rows = sorted(rows, key=lambda r: r["place"])
+        by_task: dict[int, list[dict]] = {}
+        for r in rows:
+            by_task.setdefault(r["task"], []).append(r)
+        parts = list(by_task.values())
+        self.lows = [p[0]["low"] for p in parts]
+        self.bases = [p[0]["before"] for p in parts]
+        self.ends = [p[-1]["end"] for p in parts]
+        self.highs = [p[0]["high"] for p in parts]
+        self.owners = []
+        for t, high in enumerate(self.highs):
+            owner = t
+            if high is not None:
+                first = self.bases[t] // size * size
+                owner = t - 1
+                while owner and self.bases[owner] > first and len(parts[owner]) == 1:
+                    owner -= 1
+            self.owners.append(owner)
+
+
+def _literals(values: list, kind: T.DataType) -> Column:
+    """The values as an array; a row becomes a struct."""
+
+    def literal(value, kind: T.DataType) -> Column:
+        if value is not None and isinstance(kind, T.StructType):
+            return F.struct(
+                *[literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind, strict=True)]
+            )
+        return F.lit(value).cast(kind)
+
+    if not values:
+        return F.array().cast(T.ArrayType(kind))
+    return F.array(*[literal(v, kind) for v in values])
+
+
+def ordered_chunks(
+    df: DataFrame,
+    group: str,
+    order_by: str | Sequence[str],
+    payload: str = "payload",
+    copies: str | None = None,
+    size: int = CHUNK_SIZE,
+    payloads: DataFrame | None = None,
+) -> DataFrame:
+    """``encode_chunks`` of ``chunk_within``, or with ``copies`` of ``chunk_copies``, with the
+    payloads shuffled once.
+
+    Only the groups, keys and copies are numbered. That gives ranges of keys, one for each task,
+    with the number their first row has. Payloads go to the task of their range, sorted by key,
+    and get their numbers there, from the range's first one on. A chunk that two ranges
+    share belongs to the one with its first place, which gets the rows it lacks, less than
+    ``size`` places, a second time. Nothing is joined.
+
+    Rows that tie are taken in the order of their payloads. ``payloads`` are the rows to encode,
+    those of ``df`` unless given; they have to be the same rows.
+    """
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    weight = F.col(copies).cast("long") if copies else F.lit(1).cast("long")
+    names = [f"_key{i}" for i in range(len(keys))]
+
+    def key() -> Column:
+        parts = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+        return F.struct(F.col(group).alias("_g"), *parts)
+
+    slim = stage(
+        df.select(
+            F.col(group).alias("_g"),
+            *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
+            weight.alias("_n"),
+        ),
+        "keys",
+    )
+    placed = _place(slim, "_g", names, F.col("_n"))
+    so_far = Window.partitionBy("_g", "_task").orderBy("_place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    size_ = F.lit(int(size)).cast("long")
+    shared = (F.col("_before") % size_ != 0) & (
+        F.col("_end") - F.col("_n") < F.expr(f"(_before div {int(size)} + 1) * {int(size)}")
+    )
+    at = F.struct("_g", *names)
+    found = (
+        placed.withColumn("_end", F.col("_before") + F.sum("_n").over(so_far))
+        .groupBy("_g", F.col("_task").alias("task"))
+        .agg(
+            F.min("_place").alias("place"),
+            F.min_by(at, "_place").alias("low"),
+            F.max_by(at, F.when(shared, F.col("_place"))).alias("high"),
+            F.min("_before").alias("before"),
+            F.max("_end").alias("end"),
+        )
+    )
+    ranges = _Ranges([r.asDict() for r in found.collect()], size)
+    kind = found.schema["low"].dataType
+    lows, highs = _literals(ranges.lows, kind), _literals(ranges.highs, kind)
+    n = max(len(ranges.lows), 1)
+    # Bisection: the last range that does not begin behind the row.
+    steps = [1 << i for i in reversed(range((n - 1).bit_length()))]
+    own = F.aggregate(
+        F.lit(steps) if steps else F.array().cast("array<int>"),
+        F.lit(0),
+        lambda found, step: F.when(
+            F.try_element_at(lows, found + step + 1) <= F.col("_at"), found + step
+        ).otherwise(found),
+    )
+    again = F.when(
+        F.try_element_at(highs, F.col("_own") + 1) >= F.col("_at"),
+        F.try_element_at(_literals(ranges.owners, T.IntegerType()), F.col("_own") + 1),
+    )
+    rows = (df if payloads is None else payloads).select(
+        F.col(group).alias(group),
+        F.col(payload).alias("_payload"),
+        weight.alias("_n"),
+        key().alias("_at"),
+    )
+    dealt = (
+        rows.withColumn("_own", own)
+        .withColumn("_range", F.explode(F.array_compact(F.array(F.col("_own"), again))))
+        .repartitionById(n, "_range")
+    )
+    before = Window.partitionBy("_range", group).orderBy("_at", "_payload").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+
+    def of_range(values: list) -> Column:
+        return F.try_element_at(_literals(values, T.LongType()), F.col("_range") + 1)
+
+    starts_in = F.try_element_at(lows, F.col("_range") + 1)["_g"].eqNullSafe(F.col(group))
+    base = F.when(starts_in, of_range(ranges.bases)).otherwise(F.lit(0).cast("long"))
+    numbered = dealt.withColumn("_base", base).withColumns(
+        {"_end": F.col("_base") + F.sum("_n").over(before)}
+    )
+    numbered = numbered.withColumn("_start", F.col("_end") - F.col("_n") + 1)
+    if copies:
+        pieces = _each(numbered, "chunk", _chunk("_start", size), _chunk("_end", size))
+    else:
+        pieces = numbered.withColumn("chunk", _chunk("_start", size))
+    first = F.col("chunk") - 1
+    pieces = pieces.withColumn("position", F.greatest("_start", first * size_ + 1)).withColumn(
+        "_times", F.least("_end", F.col("chunk") * size_) - F.col("position") + 1
+    )
+    own_chunk = first * size_ >= F.col("_base")
+    end = of_range(ranges.ends)
+    kept = F.when(F.col("_own") == F.col("_range"), own_chunk).otherwise(first * size_ < end)
+    mine = pieces.filter(kept).select(
+        "_range", group, "chunk", "position", F.col("_payload").alias(payload), "_times"
+    )
+    return encode_chunks(mine, group, payload, "_times", "_range").drop("_range")
+
+
 def encode_chunks(
-    df: DataFrame, group: str, payload: str = "payload", copies: str | None = None
+    df: DataFrame,
+    group: str,
+    payload: str = "payload",
+    copies: str | None = None,
+    within: str | None = None,
 ) -> DataFrame:
     """One row per chunk: its documents in order as one JSON array, and their number.
 
-    A group of this aggregation is one chunk, so it never exceeds the chunk size.
+    A group of this aggregation is one chunk, so it never exceeds the chunk size. ``within``
+    names a column that is the same for all rows of a chunk and that they are dealt by.
     """
     times = (F.col(copies) if copies else F.lit(1)).cast("int")
     items = F.array_sort(
@@ -158,7 +324,7 @@ def encode_chunks(
         )
     )
     texts = F.flatten(F.transform(items, lambda i: F.array_repeat(i["json"], i["times"])))
-    return df.groupBy(group, "chunk").agg(
+    return df.groupBy(*([within] if within else []), group, "chunk").agg(
         F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("documents"),
         F.sum(times).alias("records"),
     )

@@ -11,13 +11,7 @@ from pyspark.sql import types as T
 from lakestrata.functions import date_parts
 from lakestrata.functions.document_types import TEXT, merged_types, types_by_key
 from lakestrata.layout import DELIMITED, KEPT, SCHEMAS, day_path
-from lakestrata.operators.grouping import (
-    chunk_copies,
-    chunk_within,
-    encode_chunks,
-    repeat_copies,
-    split_copies,
-)
+from lakestrata.operators.grouping import ordered_chunks, repeat_copies, split_copies
 from lakestrata.schemas import CHUNK_SIZE
 from lakestrata.session import replaced_folder, tune
 
@@ -103,17 +97,17 @@ def land_chunks(
     the writing task, after the shuffle.
 
     With ``order_by`` chunks are numbered from 1 in that order, and each is a
-    JSON array in a folder ``chunk=<number>``. This costs a range shuffle and
-    one folder per chunk: for a moderate number of documents. A run that fails
-    leaves the documents as they were.
+    JSON array in a folder ``chunk=<number>``. Keys are numbered first, without the
+    documents, which are then shuffled once; it costs one folder per chunk, so it is for a
+    moderate number of documents. A run that fails leaves the documents as they were.
 
     The fields of the documents and their types are merged for each set of keys by the tasks
     that land them, and kept in the folder ``_schemas``, so that readers need not look for them.
     """
     spark = tune(df.sparkSession)
     seen = Observation()
-    keyed = df.withColumn("schema_id", F.md5(F.coalesce(group, F.lit(""))))
-    keyed = keyed.observe(seen, merged_types(payload, group).alias("types"))
+    plain = df.withColumn("schema_id", F.md5(F.coalesce(group, F.lit(""))))
+    keyed = plain.observe(seen, merged_types(payload, group).alias("types"))
     if order_by is None:
         # Outside of strings a line break means nothing in JSON, inside it is escaped.
         line = F.regexp_replace(payload, r"[\r\n]+", " ").alias(payload)
@@ -125,12 +119,8 @@ def land_chunks(
             lines = repeat_copies(lines, copies)
         writer = lines.write.option("maxRecordsPerFile", size).partitionBy("schema_id")
     else:
-        if copies:
-            chunks = chunk_copies(keyed, "schema_id", order_by, copies, size)
-        else:
-            chunks = chunk_within(keyed, "schema_id", order_by, size)
-        arrays = encode_chunks(chunks, "schema_id", payload, copies).drop("records")
-        writer = arrays.write.partitionBy("schema_id", "chunk")
+        arrays = ordered_chunks(plain, "schema_id", order_by, payload, copies, size, keyed)
+        writer = arrays.drop("records").write.partitionBy("schema_id", "chunk")
     with replaced_folder(spark, path) as folder:
         writer.text(folder)
         kept = spark.createDataFrame(_schema_rows(seen.get["types"]), KEPT)
