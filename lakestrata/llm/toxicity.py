@@ -27,8 +27,6 @@ from .shared import in_fold, stage, text_of
 
 #: Most labelled documents that learning reads: those with the smallest hash of their number.
 SAMPLE = 20_000
-#: Most entries of the learned lexicon.
-LEARNED = 1_000
 
 # Insults, and second-person words of four languages.
 INSULTS = (
@@ -148,8 +146,8 @@ def learn_lexicon(sample: DataFrame, least_documents: int = 8, least_odds: float
 
     ``sample`` has ``text`` and ``label``; equal texts count once. An entry occurs in
     ``least_documents`` texts of label 1 and in a share of them that is ``exp(least_odds)``
-    times that of the others. At most ``LEARNED`` entries stay, those with the greatest
-    product of documents and log odds.
+    times that of the others. All such entries are kept: their number is bounded by the
+    sample, and both counts of every entry are made by Spark.
     """
     once = sample.groupBy(F.sha2("text", 256).alias("name")).agg(
         F.first("text").alias("text"), F.max("label").alias("label")
@@ -163,36 +161,17 @@ def learn_lexicon(sample: DataFrame, least_documents: int = 8, least_odds: float
     def entries(texts: pd.Series) -> pd.Series:
         return texts.map(_entries)
 
-    toxic = (
-        once.filter("label = 1")
-        .select(F.explode(entries("text")).alias("entry"))
+    share = F.col("ones") / ones
+    elsewhere = (F.col("others") + 0.5) / (others + 1)
+    marking = (
+        once.select("label", F.explode(entries("text")).alias("entry"))
         .groupBy("entry")
-        .agg(F.count("*").alias("ones"))
+        .agg(F.sum("label").alias("ones"), F.sum(1 - F.col("label")).alias("others"))
         .filter(F.col("ones") >= least_documents)
+        .select("entry", F.log(share / elsewhere).alias("odds"))
+        .filter(F.col("odds") >= least_odds)
     )
-    # Bounded by the sample: LEARNED * 20 entries at most go on to be counted elsewhere.
-    common = toxic.orderBy(F.desc("ones"), "entry").limit(20 * LEARNED)
-    candidates = {r["entry"]: r["ones"] for r in common.collect()}
-    names = frozenset(candidates)
-
-    @F.pandas_udf("array<string>")
-    def known(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [e for e in _entries(t) if e in names])
-
-    clean = (
-        once.filter("label = 0")
-        .select(F.explode(known("text")).alias("entry"))
-        .groupBy("entry")
-        .agg(F.count("*").alias("others"))
-        .collect()
-    )
-    seen = {r["entry"]: r["others"] for r in clean}
-    odds = {
-        e: math.log((n / ones) / ((seen.get(e, 0) + 0.5) / (others + 1)))
-        for e, n in candidates.items()
-    }
-    best = sorted((e for e, s in odds.items() if s >= least_odds), key=lambda e: (-odds[e] * candidates[e], e))
-    return Lexicons({e: odds[e] for e in best[:LEARNED]})
+    return Lexicons({r["entry"]: r["odds"] for r in marking.collect()})
 
 
 def _entries(text: str) -> list[str]:

@@ -151,3 +151,17 @@ def test_commonest_word_is_that_of_the_whole_text():
     stuffed = [*words[:300], *["Buy", "buy"] * 100, *words[300:]]
     assert quality.statistics(" ".join(stuffed))[at] == 200 / 1000
     assert quality.statistics("")[at] == 0
+
+
+def test_every_marking_entry_is_learned(spark):
+    """More marking words than any cap there was, next to harmless words that are far more frequent."""
+    marking = [f"zz{i:05d}" for i in range(2500)]
+    harmless = [f"hh{i:05d}" for i in range(500)]
+    rows = [(" ".join([f"no{d}", *marking, *harmless]), 1.0) for d in range(9)]
+    rows += [(" ".join([f"yes{d}", *harmless]), 0.0) for d in range(40)]
+    rows += [rows[0], rows[-1]]
+    learned = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label double")).learned
+    assert set(marking) <= set(learned)
+    assert not any(e.startswith("hh") or e.startswith("no") or e.startswith("yes") for e in learned)
+    want = np.log(1 / (0.5 / 41))
+    assert all(abs(learned[w] - want) < 1e-9 for w in marking)
