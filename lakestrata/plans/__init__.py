@@ -15,8 +15,10 @@ from lakestrata.plans.trusted import (
     trusted_document_rows,
     trusted_local_rows,
 )
+from lakestrata.plans.upkeep import UnifiedMovies
 
 __all__ = [
+    "UnifiedMovies",
     "enriched_rows",
     "run_documents",
     "run_enrichment",

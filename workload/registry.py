@@ -635,6 +635,17 @@ def landed_values(spark, d):
     return sources.read_landed_day(spark, raw, RUN_DATE, multi_line=True)
 
 
+@query
+def unified_movies_kept_up(spark, d):
+    """The table after batches 1 and 2, then 3, each of which rewrites the parts it touches."""
+    kept = plans.UnifiedMovies(spark, work_dir(spark, "kept"), "unified_movies_kept_up", parts=16)
+    kept.start(trusted_local_movies(spark, d))
+    first, second, third = _trusted_batches(spark, d)
+    kept.add(op.union_batches([first, second]), 1)
+    kept.add(third, 3)
+    return kept.table()
+
+
 @query
 def series_job(spark, d):
     """The job of the refined series, from a stored trusted table to the catalog."""
