@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from lakestrata import plans, schemas
 from lakestrata.session import job_folder, tune
+from lakestrata.sinks import compact_documents
 from lakestrata.sources import read_parquet
 
 RENAMES = {"movies": schemas.MOVIE_RENAMES, "series": schemas.SERIES_RENAMES}
@@ -27,6 +28,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     land = job("land")
     land.add_argument("--run-date", type=date.fromisoformat, required=True)
     land.add_argument("--multi-line", action="store_true", help="values with line breaks")
+    land.add_argument("--quarantine", help="folder for lines that are no rows")
     enrich = job("enrich", "--lookups")
     enrich.add_argument("--run-date", type=date.fromisoformat, required=True)
     enrich.add_argument("--landed-on", type=date.fromisoformat)
@@ -38,9 +40,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     local.add_argument("--multi-line", action="store_true")
     local.add_argument("--kind", choices=RENAMES, required=True)
     local.add_argument("--artist")
+    local.add_argument("--quarantine", help="folder for lines that are no rows")
     documents = job("trusted-documents", "--table")
     documents.add_argument("--arrays", action="store_true", help="files of one JSON array each")
     documents.add_argument("--quarantine", help="folder for lines that are no documents")
+    documents.add_argument("--block-rows", type=int, help="most rows of a piece of a document")
+    compact = job("compact-documents")
+    compact.add_argument("--arrays", action="store_true")
     job("refined-series")
     movies = job("refined-movies", "--batches")
     movies.add_argument(
@@ -61,7 +67,9 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
 def _run(spark: SparkSession, a: argparse.Namespace) -> None:
     match a.job:
         case "land":
-            plans.run_landing(spark, a.source, a.target, a.run_date, a.multi_line)
+            plans.run_landing(spark, a.source, a.target, a.run_date, a.multi_line, a.quarantine)
+        case "compact-documents":
+            compact_documents(spark, a.source, a.target, arrays=a.arrays)
         case "enrich":
             plans.run_enrichment(
                 spark,
@@ -78,11 +86,24 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> None:
         case "trusted-local":
             renames = RENAMES[a.kind]
             plans.run_local(
-                spark, a.source, a.target, renames, a.artist, a.table, multi_line=a.multi_line
+                spark,
+                a.source,
+                a.target,
+                renames,
+                a.artist,
+                a.table,
+                multi_line=a.multi_line,
+                quarantine=a.quarantine,
             )
         case "trusted-documents":
             plans.run_documents(
-                spark, a.source, a.target, a.table, a.arrays, quarantine=a.quarantine
+                spark,
+                a.source,
+                a.target,
+                a.table,
+                a.arrays,
+                quarantine=a.quarantine,
+                block_rows=a.block_rows,
             )
         case "refined-series":
             plans.run_series(spark, a.source, a.target)

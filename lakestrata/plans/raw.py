@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 from lakestrata.layout import day_path
 from lakestrata.operators import enrich_counted, found, keep_equal, project_key, with_schema_key
 from lakestrata.schemas import CHUNK_SIZE, check_contract, file_schema
-from lakestrata.session import tune
+from lakestrata.session import replaced_folder, tune
 from lakestrata.sinks import land_by_date, land_chunks
-from lakestrata.sources import read_delimited, read_landed_day
+from lakestrata.sources import read_delimited, read_landed_day, split_bad_rows
 
 
 # Columns of a local file that give the keys to look up.
@@ -30,10 +30,24 @@ LOOKUPS = T.StructType(
 
 
 def run_landing(
-    spark: SparkSession, source: str, target: str, run_date: date, multi_line: bool = False
+    spark: SparkSession,
+    source: str,
+    target: str,
+    run_date: date,
+    multi_line: bool = False,
+    quarantine: str | None = None,
 ) -> None:
-    """Copy a delimited dataset, whatever its columns, into the folder of the run date."""
-    rows = read_delimited(spark, source, multi_line=multi_line)
+    """Copy a delimited dataset, whatever its columns, into the folder of the run date.
+
+    A line with more or fewer fields than the header ends the job; with ``quarantine`` such
+    lines are written to that folder, with the name of their file, and all others land.
+    """
+    if quarantine is None:
+        rows = read_delimited(spark, source, multi_line=multi_line)
+    else:
+        rows, bad = split_bad_rows(spark, source, multi_line=multi_line)
+        with replaced_folder(spark, quarantine) as folder:
+            bad.write.parquet(folder)
     land_by_date(rows, target, run_date, multi_line=multi_line)
 
 

@@ -35,6 +35,7 @@ from lakestrata.sources import (
     read_document_arrays,
     read_document_lines,
     split_bad_lines,
+    split_bad_rows,
     with_fields,
 )
 
@@ -55,15 +56,16 @@ def trusted_document_rows(
     documents: DataFrame,
     spellings: Mapping[str, str] = COUNTRY_SPELLINGS,
     keep_empty: bool = False,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """A document's rows: genre x company x country x language.
 
     A document with one of the lists null or empty gives no row, unless
-    ``keep_empty``.
+    ``keep_empty``. ``block_rows`` is that of ``unnest_lists``.
     """
     return (
         documents.transform(drop_fields, DOCUMENT_UNUSED)
-        .transform(unnest_lists, DOCUMENT_LISTS, keep_empty)
+        .transform(unnest_lists, DOCUMENT_LISTS, keep_empty, block_rows)
         .transform(canonicalise, "production_country_name", spellings)
     )
 
@@ -77,9 +79,16 @@ def run_local(
     table: str,
     database: str = TRUSTED_DATABASE,
     multi_line: bool = False,
+    quarantine: str | None = None,
 ) -> str:
+    """One local file; ``quarantine`` is that of ``run_landing``."""
     contract = file_schema([*renames, *LOCAL_UNUSED])
-    raw = read_delimited(spark, source, contract=contract, multi_line=multi_line)
+    if quarantine is None:
+        raw = read_delimited(spark, source, contract=contract, multi_line=multi_line)
+    else:
+        raw, bad = split_bad_rows(spark, source, contract, multi_line=multi_line)
+        with replaced_folder(spark, quarantine) as folder:
+            bad.write.parquet(folder)
     rows = trusted_local_rows(raw, renames, artist)
     return save_table(rows, database, table, target, keep_versions=KEEP_VERSIONS)
 
@@ -93,6 +102,7 @@ def run_documents(
     database: str = TRUSTED_DATABASE,
     schema: T.StructType | None = None,
     quarantine: str | None = None,
+    block_rows: int | None = None,
 ) -> str:
     """One batch of documents: one object per line, as they land, or files of JSON ``arrays``.
 
@@ -119,5 +129,5 @@ def run_documents(
     else:
         read = read_document_arrays if arrays else read_document_lines
         rows = read(spark, source, schema, names=names)
-    rows = trusted_document_rows(rows)
+    rows = trusted_document_rows(rows, block_rows=block_rows)
     return save_table(rows, database, table, target, keep_versions=KEEP_VERSIONS)

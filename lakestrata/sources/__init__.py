@@ -1,6 +1,11 @@
 """Readers. Each takes the session, a path or table name, and an explicit schema."""
 
-from lakestrata.sources.delimited import read_delimited, read_landed, read_landed_day
+from lakestrata.sources.delimited import (
+    read_delimited,
+    read_landed,
+    read_landed_day,
+    split_bad_rows,
+)
 from lakestrata.sources.documents import (
     column_names,
     document_fields,
@@ -28,5 +33,6 @@ __all__ = [
     "read_parquet",
     "read_table",
     "split_bad_lines",
+    "split_bad_rows",
     "with_fields",
 ]

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions import path_date_parts
@@ -43,6 +44,40 @@ def read_delimited(
     return rows if contract is None else check_contract(rows, contract)
 
 
+def split_bad_rows(
+    spark: SparkSession,
+    path: str | list[str],
+    contract: T.StructType | None = None,
+    sep: str = "|",
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``read_delimited`` and, as ``path, value``, the raw lines that are none.
+
+    A line is no row of the file if it has more or fewer fields than the header. The columns are
+    those of the header, all text; a file with another header is still an error. A reader that
+    takes some columns only sees the same bad lines.
+    """
+    options = {**DELIMITED_READ, "sep": sep, "multiLine": str(multi_line).lower()}
+    names = spark.read.options(**options).csv(path).columns
+    marker = "_bad"
+    while marker.lower() in {n.lower() for n in names}:
+        marker += "_"
+    marked = T.StructType([T.StructField(n, T.StringType()) for n in [*names, marker]])
+    rows = (
+        spark.read.schema(marked)
+        .options(**options, mode="PERMISSIVE", enforceSchema="false")
+        .options(columnNameOfCorruptRecord=marker, columnPruning="false")
+        .csv(path)
+    )
+    # Spark refuses to read the marker alone, so no part of another column is added to it.
+    raw = F.concat(marker, F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0))
+    bad = rows.filter(raw.isNotNull()).select(
+        F.col("_metadata.file_path").alias("path"), raw.alias("value")
+    )
+    good = rows.filter(raw.isNull()).drop(marker)
+    return (good if contract is None else check_contract(good, contract)), bad
+
+
 def read_landed_day(
     spark: SparkSession,
     path: str,

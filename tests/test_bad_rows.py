@@ -1,0 +1,84 @@
+"""Lines that are no rows of a delimited file are set aside, and all rows are kept."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata import jobs, plans, schemas, sources
+from lakestrata.layout import day_path
+from lakestrata.schemas import STRING, struct
+from lakestrata.session import work_dir
+
+DAY = date(2023, 11, 6)
+
+
+def write(spark, lines, parts=1):
+    path = work_dir(spark, "lines")
+    for i in range(parts):
+        text = "\n".join([lines[0], *lines[1 + i :: parts]])
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
+    return path
+
+
+LINES = ["id|name|_bad", "1|a|x", "2|b|y|surplus", "3|c", "4|\"q|r\"|", "", "5||\"\"", "6|d|z||", "only", "7|e| "]
+GOOD = [("1", "a", "x"), ("4", "q|r", None), ("5", None, ""), ("7", "e", " ")]
+BAD = ["2|b|y|surplus", "3|c", "6|d|z||", "only"]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_bad_lines_and_rows(spark, parts):
+    path = write(spark, LINES, parts)
+    with pytest.raises(Exception):
+        sources.read_delimited(spark, path).collect()
+    good, bad = sources.split_bad_rows(spark, path, struct(id=STRING))
+    assert good.columns == ["id", "name", "_bad"]
+    assert sorted(map(tuple, good.collect())) == GOOD
+    rows = bad.collect()
+    assert sorted(r["value"] for r in rows) == BAD
+    assert all(r["path"].startswith("file:") and r["path"].endswith(".txt") for r in rows)
+
+
+def test_a_choice_of_columns_sees_the_same_bad_lines(spark):
+    good, bad = sources.split_bad_rows(spark, write(spark, LINES))
+    assert sorted(r["id"] for r in good.select("id").collect()) == [g[0] for g in GOOD]
+    assert good.count() == len(GOOD) and bad.count() == len(BAD)
+    assert good.filter("name = 'a'").select(F.col("id")).collect() == [("1",)]
+
+
+def test_line_breaks_within_values(spark):
+    lines = ["id|name", '1|"a\nb"', '2|"c\nd"|e', "3|f"]
+    good, bad = sources.split_bad_rows(spark, write(spark, lines), multi_line=True)
+    assert sorted(map(tuple, good.collect())) == [("1", "a\nb"), ("3", "f")]
+    assert [r["value"].split("|")[0] for r in bad.collect()] == ["2"]
+
+
+def test_no_rows_and_no_bad_lines(spark):
+    good, bad = sources.split_bad_rows(spark, write(spark, ["id|name"]))
+    assert good.count() == bad.count() == 0 and good.columns == ["id", "name"]
+    good, bad = sources.split_bad_rows(spark, write(spark, ["id|name", "1|a"]))
+    assert good.count() == 1 and bad.count() == 0
+    with pytest.raises(schemas.ContractError):
+        sources.split_bad_rows(spark, write(spark, ["id|name"]), struct(other=STRING))
+
+
+def test_jobs_set_bad_lines_aside(spark):
+    source = write(spark, ["id|name", "1|a", "2|b|c", "3|d"])
+    target, aside = work_dir(spark, "raw"), work_dir(spark, "aside")
+    with pytest.raises(Exception):
+        plans.run_landing(spark, source, target, DAY)
+    jobs.run(
+        spark,
+        ["land", "--source", source, "--target", target, "--run-date", "2023-11-06", "--quarantine", aside],
+    )
+    assert sources.read_landed_day(spark, target, DAY).count() == 2
+    assert [r["value"] for r in spark.read.parquet(aside).collect()] == ["2|b|c"]
+    header = [*schemas.MOVIE_RENAMES, *schemas.LOCAL_UNUSED]
+    row = "|".join("v" for _ in header)
+    source = write(spark, ["|".join(header), row, row + "|w"])
+    name = plans.run_local(
+        spark, source, work_dir(spark, "t"), schemas.MOVIE_RENAMES, None, "bad_rows", quarantine=aside
+    )
+    assert spark.table(name).count() == 1
+    assert [r["value"] for r in spark.read.parquet(aside).collect()] == [row + "|w"]
+    assert day_path("x", DAY)

@@ -183,6 +183,12 @@ ORACLE: dict[str, str] = {
         SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
                CAST(c_acctbal AS VARCHAR) AS balance,
                nullif(c_mktsegment, 'MACHINERY') AS segment FROM customer""",
+    "scan_delimited_with_bad_rows": """
+        SELECT c_custkey % 3 = 0 AS bad, CAST(c_custkey AS VARCHAR) AS id,
+               CASE c_custkey % 6 WHEN 0 THEN c_custkey || '|' || c_name || '|' || c_mktsegment || '|one more'
+                    WHEN 3 THEN c_custkey || '|' || c_name ELSE c_name END AS name,
+               CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS segment
+        FROM customer""",
     "scan_json_arrays": _EVENT_FIELDS,
     "scan_json_lines": _EVENT_FIELDS,
     "scan_parquet": "SELECT l_orderkey, l_suppkey FROM lineitem",
@@ -319,6 +325,7 @@ ORACLE: dict[str, str] = {
     "trusted_local_movies_of_artist": _trusted_local(f"artist_name = '{ARTIST}'"),
     "trusted_local_series": _trusted_local(series=True),
     "trusted_documents": _TRUSTED_DOCUMENTS,
+    "trusted_documents_in_blocks": _TRUSTED_DOCUMENTS,
     "refined_series": _REFINED_SERIES,
     "series_job": _REFINED_SERIES,
     "unified_movies": _unified(_trusted_local()),

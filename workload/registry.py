@@ -55,6 +55,31 @@ def scan_delimited(spark, d):
     return sources.read_delimited(spark, path, schema=schemas.file_schema(rows.columns))
 
 
+@query
+def scan_delimited_with_bad_rows(spark, d):
+    """Every third line has a field too many or too few: those set aside, and all others."""
+    path, aside = work_dir(spark, "delimited"), work_dir(spark, "aside")
+    kind = F.col("c_custkey") % 6
+    line = F.concat_ws(
+        "|",
+        F.col("c_custkey").cast("string"),
+        "c_name",
+        F.when(kind != 3, F.col("c_mktsegment")),
+        F.when(kind == 0, F.lit("one more")),
+    )
+    lines = table(spark, d, "customer").select(line.alias("id|name|segment"))
+    lines.write.option("header", True).option("quote", "").csv(path, sep="\t")
+    good, bad = sources.split_bad_rows(spark, path)
+    bad.write.parquet(aside)
+    found = spark.read.parquet(aside).select(
+        F.lit(True).alias("bad"),
+        F.substring_index("value", "|", 1).alias("id"),
+        F.col("value").alias("name"),
+        F.lit(None).cast("string").alias("segment"),
+    )
+    return good.select(F.lit(False).alias("bad"), "id", "name", "segment").unionByName(found)
+
+
 @query
 def scan_json_arrays(spark, d):
     path = work_dir(spark, "arrays")
@@ -460,6 +485,13 @@ def trusted_documents(spark, d):
     return plans.trusted_document_rows(documents(spark, d).drop("batch"), SPELLINGS)
 
 
+@query
+def trusted_documents_in_blocks(spark, d):
+    """The same rows, from pieces of documents of at most five rows each."""
+    docs = documents(spark, d).drop("batch")
+    return plans.trusted_document_rows(docs, SPELLINGS, block_rows=5)
+
+
 @query
 def refined_series(spark, d):
     return plans.series_rows(trusted_local_series(spark, d))
