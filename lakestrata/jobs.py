@@ -41,6 +41,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     local.add_argument("--kind", choices=RENAMES, required=True)
     local.add_argument("--artist")
     local.add_argument("--quarantine", help="folder for lines that are no rows")
+    local.add_argument("--buckets", type=int, help="buckets of the table by title")
     documents = job("trusted-documents", "--table")
     documents.add_argument("--arrays", action="store_true", help="files of one JSON array each")
     documents.add_argument("--quarantine", help="folder for lines that are no documents")
@@ -94,6 +95,7 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> None:
                 a.table,
                 multi_line=a.multi_line,
                 quarantine=a.quarantine,
+                buckets=a.buckets,
             )
         case "trusted-documents":
             plans.run_documents(

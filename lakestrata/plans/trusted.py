@@ -80,8 +80,10 @@ def run_local(
     database: str = TRUSTED_DATABASE,
     multi_line: bool = False,
     quarantine: str | None = None,
+    buckets: int | None = None,
 ) -> str:
-    """One local file; ``quarantine`` is that of ``run_landing``."""
+    """One local file; ``quarantine`` is that of ``run_landing``, and the table has that many
+    ``buckets`` by title."""
     contract = file_schema([*renames, *LOCAL_UNUSED])
     if quarantine is None:
         raw = read_delimited(spark, source, contract=contract, multi_line=multi_line)
@@ -90,7 +92,10 @@ def run_local(
         with replaced_folder(spark, quarantine) as folder:
             bad.write.parquet(folder)
     rows = trusted_local_rows(raw, renames, artist)
-    return save_table(rows, database, table, target, keep_versions=KEEP_VERSIONS)
+    by_title = ("imdb_id", buckets) if buckets else None
+    return save_table(
+        rows, database, table, target, keep_versions=KEEP_VERSIONS, buckets=by_title
+    )
 
 
 def run_documents(

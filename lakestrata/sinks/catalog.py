@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from lakestrata.layout import new_version
@@ -30,6 +30,7 @@ def save_table(
     max_records_per_file: int = 0,
     rebalance: bool = False,
     keep_versions: int = 0,
+    buckets: tuple[str, int] | None = None,
 ) -> str:
     """Write Parquet below ``path`` and make it the data of ``database.table``; return that name.
 
@@ -40,8 +41,12 @@ def save_table(
 
     ``keep_versions`` earlier versions of the data stay, for queries that still read them;
     older ones go, after the switch. ``sources.read_parquet`` reads the newest complete version
-    of a path, and any reader does where no earlier one stays. Files are as many as the last stage has tasks; ``rebalance`` adds a shuffle that
-    evens them out.
+    of a path, and any reader does where no earlier one stays. Files are as many as the last stage
+    has tasks; ``rebalance`` adds a shuffle that evens them out.
+
+    ``buckets`` is a column and a number: rows are stored in that many files by a hash of the
+    column, each sorted by it. Whoever reads the table by name joins it and groups it by that
+    column without a shuffle. A value that fills a third of the rows fills one file.
     """
     spark = tune(df.sparkSession)
     name = f"`{database}`.`{table}`"
@@ -49,7 +54,11 @@ def save_table(
     path = path.rstrip("/")
     partitions = list(partition_by or [])
     columns = _table_columns(df.schema, partitions)
-    if rebalance:
+    if buckets:
+        if partitions or max_records_per_file:
+            raise ValueError("a bucket is one file of the whole table")
+        df = df.repartition(buckets[1], buckets[0])
+    elif rebalance:
         df = df.hint("rebalance", *partitions)
     writer = df.write
     if max_records_per_file:
@@ -58,8 +67,11 @@ def save_table(
         writer = writer.partitionBy(*partitions)
     folder = f"{path}/{new_version()}"
     try:
-        writer.parquet(folder)
-        switch(spark, name, columns, partitions, folder)
+        if buckets:
+            _write_buckets(spark, writer, database, table, folder, buckets)
+        else:
+            writer.parquet(folder)
+        switch(spark, name, columns, partitions, folder, buckets)
     except BaseException:
         remove_folder(spark, folder)
         raise
@@ -67,6 +79,27 @@ def save_table(
     return name
 
 
+def _write_buckets(
+    spark: SparkSession,
+    writer: DataFrameWriter,
+    database: str,
+    table: str,
+    folder: str,
+    buckets: tuple[str, int],
+) -> None:
+    """Spark writes buckets through the catalog only: under a passing name, which goes again.
+
+    The files stay, as the folder was named by us.
+    """
+    column, n = buckets
+    passing = f"`{database}`.`{table}_{folder[-8:]}`"
+    try:
+        bucketed = writer.format("parquet").bucketBy(n, column).sortBy(column)
+        bucketed.option("path", folder).saveAsTable(passing)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {passing}")
+
+
 def _table_columns(schema: T.StructType, partitions: Sequence[str]) -> T.StructType:
     """The columns in the order of a table: partition columns come last. All may be null."""
     held = {f.name: f.dataType for f in schema.fields}
@@ -91,6 +124,7 @@ def switch(
     columns: T.StructType,
     partitions: Sequence[str],
     folder: str,
+    buckets: tuple[str, int] | None = None,
 ) -> None:
     """Make ``folder`` the data of the table, which is created if it is not there.
 
@@ -98,15 +132,15 @@ def switch(
     """
     place = _quoted(folder)
     if not spark.catalog.tableExists(name):
-        _create(spark, name, columns, partitions, folder, {})
+        _create(spark, name, columns, partitions, folder, {}, buckets)
         return
     held = _nullable(spark.table(name).schema)
     kept = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     added = _added(held, columns, len(kept))
-    if kept != list(partitions) or added is None:
+    if kept != list(partitions) or added is None or _buckets(spark, name) != buckets:
         properties = _properties(spark, name)
         spark.sql(f"DROP TABLE {name}")
-        _create(spark, name, columns, partitions, folder, properties)
+        _create(spark, name, columns, partitions, folder, properties, buckets)
         return
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
@@ -114,6 +148,15 @@ def switch(
     spark.catalog.refreshTable(name)
 
 
+def _buckets(spark: SparkSession, name: str) -> tuple[str, int] | None:
+    """Column and number of the table's buckets."""
+    columns = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+    if not columns:
+        return None
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Num Buckets'")
+    return columns[0], int(described.first()["data_type"])
+
+
 def _added(held: T.StructType, wanted: T.StructType, n_partitions: int) -> list | None:
     """The columns to add to ``held``; None if it has columns that are not wanted as they are.
 
@@ -154,8 +197,12 @@ def _create(
     partitions: Sequence[str],
     folder: str,
     properties: dict[str, str],
+    buckets: tuple[str, int] | None,
 ) -> None:
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
+    if buckets:
+        column, n = buckets
+        parts = f"CLUSTERED BY (`{column}`) SORTED BY (`{column}`) INTO {int(n)} BUCKETS"
     kept = ", ".join(f"'{_quoted(k)}' = '{_quoted(v)}'" for k, v in properties.items())
     before = spark.conf.get(_LISTED)
     spark.conf.set(_LISTED, "false")

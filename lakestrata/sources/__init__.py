@@ -17,7 +17,7 @@ from lakestrata.sources.documents import (
     split_bad_lines,
     with_fields,
 )
-from lakestrata.sources.tables import read_parquet, read_table
+from lakestrata.sources.tables import read_parquet, read_place, read_table
 
 __all__ = [
     "column_names",
@@ -31,6 +31,7 @@ __all__ = [
     "read_landed_day",
     "read_objects",
     "read_parquet",
+    "read_place",
     "read_table",
     "split_bad_lines",
     "split_bad_rows",

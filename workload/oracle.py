@@ -329,6 +329,7 @@ ORACLE: dict[str, str] = {
     "refined_series": _REFINED_SERIES,
     "series_job": _REFINED_SERIES,
     "unified_movies": _unified(_trusted_local()),
+    "unified_movies_bucketed": _unified(_trusted_local()),
     "unified_movies_kept_up": _unified(_trusted_local()),
     "unified_movies_of_artist": _unified(_trusted_local(f"artist_name = '{ARTIST}'")),
     "unified_movies_origin_per_batch": _unified(_trusted_local(), per_batch=True),

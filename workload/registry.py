@@ -667,6 +667,16 @@ def landed_values(spark, d):
     return sources.read_landed_day(spark, raw, RUN_DATE, multi_line=True)
 
 
+@query
+def unified_movies_bucketed(spark, d):
+    """Local titles from a table in buckets by title, which is not shuffled."""
+    local = trusted_local_movies(spark, d)
+    name = sinks.save_table(
+        local, schemas.TRUSTED_DATABASE, "titles_in_buckets", work_dir(spark, "buckets"), buckets=("imdb_id", 8)
+    )
+    return plans.unified_movies_rows(sources.read_place(spark, name), _trusted_batches(spark, d))
+
+
 @query
 def unified_movies_kept_up(spark, d):
     """The table after batches 1 and 2, then 3, each of which rewrites the parts it touches."""
