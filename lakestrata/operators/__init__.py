@@ -13,10 +13,11 @@ from lakestrata.operators.grouping import (
     split_copies,
     with_schema_key,
 )
-from lakestrata.operators.lookup import count_keys, enrich, enrich_counted, failed, found, unknown_keys
+from lakestrata.operators.lookup import count_keys, enrich, enrich_counted, enrich_filtered, failed, found, unknown_keys
 from lakestrata.operators.merge import (
     attach,
     collect_distinct,
+    collect_segments,
     distinct_rows,
     known_pairs,
     union_batches,
@@ -41,12 +42,14 @@ __all__ = [
     "chunk_copies",
     "chunk_within",
     "collect_distinct",
+    "collect_segments",
     "count_keys",
     "distinct_rows",
     "drop_fields",
     "encode_chunks",
     "enrich",
     "enrich_counted",
+    "enrich_filtered",
     "explode_list",
     "explode_structs",
     "explode_text",

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.operators.grouping import number_within
+
 
 def attach(left: DataFrame, right: DataFrame, key: str, *columns: str) -> DataFrame:
     """All rows and columns of ``left`` with ``columns`` of ``right``, by left join on ``key``.
@@ -47,6 +49,36 @@ def collect_distinct(df: DataFrame, key: str, value: str, name: str) -> DataFram
     )
 
 
+def collect_segments(
+    df: DataFrame, key: str, value: str, name: str, size: int = 1000
+) -> DataFrame:
+    """The lists of ``collect_distinct`` in segments of at most ``size`` values.
+
+    Segments are numbered from 1 in column ``segment``, in the order of the values, so all
+    segments of a key one after the other are its list. A list may be longer than a row can be,
+    and a key may have most of all values: they are numbered by ranges, and a segment is all that
+    meets in one place. A key without values has one empty segment.
+    """
+    pairs = df.select(key, value).dropna(subset=[value]).distinct()
+    numbered = number_within(pairs, key, value, "_position")
+    segments = (
+        numbered.withColumn("segment", F.expr(f"(_position - 1) div {int(size)} + 1"))
+        .groupBy(key, "segment")
+        .agg(F.array_sort(F.collect_list(value)).alias(name))
+    )
+    empty = (
+        df.groupBy(key)
+        .agg(F.count(value).alias("_n"))
+        .filter("_n = 0")
+        .select(
+            key,
+            F.lit(1).cast("bigint").alias("segment"),
+            F.array().cast(segments.schema[name].dataType).alias(name),
+        )
+    )
+    return segments.unionByName(empty)
+
+
 def known_pairs(df: DataFrame, key: str, value: str) -> DataFrame:
     """Distinct ``(key, value)`` rows without nulls."""
     return df.select(key, value).dropna().distinct()

@@ -90,6 +90,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below a folder."""
+    system, place = _file_system(spark, path)
+    return system.getContentSummary(place).getLength()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """The names of what lies in a folder, sorted; none if there is no such folder."""
     system, place = _file_system(spark, path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from lakestrata.layout import new_version
-from lakestrata.session import children, remove_folder, tune, versions
+from lakestrata.session import children, folder_bytes, remove_folder, tune, versions, work_dir
 
 # File source tables then find partitions by listing their location, so that a new location
 # brings its own partitions; otherwise the catalog would go on naming those of the old one.
@@ -31,6 +31,7 @@ def save_table(
     rebalance: bool = False,
     keep_versions: int = 0,
     buckets: tuple[str, int] | None = None,
+    file_bytes: int | None = None,
 ) -> str:
     """Write Parquet below ``path`` and make it the data of ``database.table``; return that name.
 
@@ -47,6 +48,11 @@ def save_table(
     ``buckets`` is a column and a number: rows are stored in that many files by a hash of the
     column, each sorted by it. Whoever reads the table by name joins it and groups it by that
     column without a shuffle. A value that fills a third of the rows fills one file.
+
+    ``file_bytes`` is the size that files shall have. What a row takes on disk is measured on
+    the rows themselves, which are written once before, and the files are planned by it; it adds
+    that write and a shuffle. Files of a partitioned table are as large as their partition, or
+    of about that size if it is larger.
     """
     spark = tune(df.sparkSession)
     name = f"`{database}`.`{table}`"
@@ -54,6 +60,14 @@ def save_table(
     path = path.rstrip("/")
     partitions = list(partition_by or [])
     columns = _table_columns(df.schema, partitions)
+    if file_bytes:
+        df, rows, n = _sized(df, file_bytes)
+        if partitions:
+            # A task of all partitions' rows would write a file for each of them.
+            df = df.hint("rebalance", *partitions)
+            max_records_per_file = max(-(-rows // n), 1)
+        else:
+            df = df.repartition(n)
     if buckets:
         if partitions or max_records_per_file:
             raise ValueError("a bucket is one file of the whole table")
@@ -79,6 +93,15 @@ def save_table(
     return name
 
 
+def _sized(df: DataFrame, file_bytes: int) -> tuple[DataFrame, int, int]:
+    """The stored rows, how many there are, and how many files of that size they fill."""
+    spark = df.sparkSession
+    path = work_dir(spark, "sized")
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    return stored, stored.count(), max(round(folder_bytes(spark, path) / file_bytes), 1)
+
+
 def _write_buckets(
     spark: SparkSession,
     writer: DataFrameWriter,

@@ -1,0 +1,81 @@
+"""Lists in segments, and a Bloom filter in front of the shuffle of documents."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata import operators as op
+from lakestrata.operators.lookup import key_bitmaps, may_have_key
+from lakestrata.session import stage
+
+
+@pytest.mark.parametrize("size", [1, 7, 100])
+def test_segments_one_after_the_other_are_the_list(spark, size):
+    """One key holds a third of all values; values repeat and may be null."""
+    rng = random.Random(size)
+    rows = [("hot" if i % 3 == 0 else f"k{i % 40}", f"v{rng.randrange(700)}") for i in range(3000)]
+    rows += [("empty", None), ("empty", None), (None, "a"), (None, "b"), ("k1", None), ("", "")]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(6)
+    got = op.collect_segments(df, "k", "v", "l", size).collect()
+    lists = {}
+    for r in sorted(got, key=lambda r: r["segment"]):
+        assert len(r["l"]) <= size
+        lists.setdefault(r["k"], []).append(r)
+    for parts in lists.values():
+        assert [p["segment"] for p in parts] == list(range(1, len(parts) + 1))
+        assert all(len(p["l"]) == size for p in parts[:-1])
+    want = {r["k"]: r["l"] for r in op.collect_distinct(df, "k", "v", "l").collect()}
+    assert {k: sum((p["l"] for p in parts), []) for k, parts in lists.items()} == want
+
+
+def test_a_hot_key_is_numbered_by_several_tasks(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        df = spark.range(4000).select(F.lit("hot").alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+        got = op.collect_segments(df, "k", "v", "l", 50)
+        tasks = got.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 3 and sum(r["count"] for r in tasks) == 80
+    finally:
+        spark.conf.set(name, before)
+    assert op.collect_segments(df.limit(0), "k", "v", "l").count() == 0
+
+
+def test_the_filter_loses_no_key_and_lets_few_others_through(spark):
+    keys = spark.range(0, 20_000).select((F.col("id") * 3).alias("id"))
+    bits = 16 * 20_000 // 32_768 * 32_768 + 32_768
+    bitmaps = stage(key_bitmaps(keys, "id", bits))
+    assert bitmaps.count() * 4096 == bits // 8
+    docs = spark.range(0, 60_000)
+    held = may_have_key(docs, bitmaps, "id", bits)
+    assert held.filter("id % 3 = 0").count() == 20_000
+    assert held.filter("id % 3 <> 0").count() < 0.01 * 40_000
+
+
+def test_documents_are_filtered_below_their_shuffle(spark):
+    rng = random.Random(2)
+    keys = spark.createDataFrame([(f"k{rng.randrange(300)}",) for _ in range(1000)] + [(None,)], "id string")
+    docs = stage(spark.range(0, 50_000, 1, 4).select(F.format_string("k%d", "id").alias("id"), F.lit("{}").alias("payload")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = op.enrich_filtered(keys, docs, "id")
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+        shuffle = next(i for i in range(join, len(lines)) if "Exchange hashpartitioning" in lines[i])
+        scan = next(i for i in range(shuffle, len(lines)) if "payload" in lines[i] and "FileScan" in lines[i])
+        between = "\n".join(lines[shuffle:scan])
+        assert between.count("BroadcastHashJoin") == 3 and "getbit" in between
+        want = op.enrich_counted(keys, docs, "id")
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.select(df.columns).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_filters_stay_exact(spark):
+    """More keys than the filter has room for: it lets everything through, the join does not."""
+    keys = spark.range(0, 30_000).select((F.col("id") * 2).alias("id"))
+    docs = spark.range(0, 60_000)
+    assert op.enrich_filtered(keys, docs, "id", max_bytes=4096).count() == 30_000
+    assert op.enrich_filtered(keys.limit(0), docs, "id").count() == 0

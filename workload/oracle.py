@@ -193,6 +193,7 @@ ORACLE: dict[str, str] = {
     "scan_json_lines": _EVENT_FIELDS,
     "scan_parquet": "SELECT l_orderkey, l_suppkey FROM lineitem",
     "read_objects": f"SELECT documents AS content FROM ({_ENCODED}) e",
+    "files_by_size": "SELECT count(*) AS rows, TRUE AS in_band FROM lineitem",
     "save_table": "SELECT p_partkey, p_brand, p_size FROM part",
     "land_by_date": """
         SELECT event_id, event_type, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
@@ -241,6 +242,7 @@ ORACLE: dict[str, str] = {
                CASE l_linestatus WHEN 'F' THEN r_name END AS production_country_name
         FROM ({_LINES}) x""",
     "collect_companies": _SUPPLIER_TEXT,
+    "companies_in_segments": f"SELECT *, TRUE AS bounded FROM ({_SUPPLIER_TEXT}) s",
     "collect_countries": f"""
         SELECT 'tt' || l_orderkey AS imdb_id,
                coalesce(string_agg(DISTINCT country, ',' ORDER BY country), '') AS countries
@@ -283,6 +285,10 @@ ORACLE: dict[str, str] = {
         SELECT l.*, copies FROM ({_LOOKUPS}) l
         JOIN (SELECT user_id, count(*) AS copies FROM events GROUP BY user_id) k
         ON l.id = user_id""",
+    "enrich_filtered": f"""
+        SELECT l.*, copies FROM ({_LOOKUPS}) l
+        JOIN (SELECT user_id, count(*) AS copies FROM events GROUP BY user_id) k
+        ON l.id = user_id""",
     "count_keys": "SELECT user_id AS id, count(*) AS copies FROM events GROUP BY user_id",
     "chunk_copies": f"""
         SELECT status, id, (row_number() OVER (PARTITION BY status ORDER BY id) - 1) // 100 + 1

@@ -120,6 +120,25 @@ def save_table(spark, d):
     return sources.read_table(spark, name)
 
 
+FILE_BYTES = 1 << 17
+
+
+@query
+def files_by_size(spark, d):
+    """A table in files of a size: all rows, and whether every file's size is near it."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    name = sinks.save_table(
+        lines, schemas.TRUSTED_DATABASE, "lines_by_size", work_dir(spark, "sized"), file_bytes=FILE_BYTES
+    )
+    files = sources.read_table(spark, name).groupBy("_metadata.file_path").agg(
+        F.max("_metadata.file_size").alias("size"), F.count("*").alias("rows")
+    )
+    near = (F.col("size") > FILE_BYTES // 2) & (F.col("size") < FILE_BYTES * 2)
+    return files.agg(
+        F.sum("rows").alias("rows"), (F.every(near) | (F.count("*") == 1)).alias("in_band")
+    )
+
+
 @query
 def land_by_date(spark, d):
     path = work_dir(spark, "dated")
@@ -268,6 +287,20 @@ def collect_companies(spark, d):
     return lists.select("o_orderkey", F.array_join("suppliers", ",").alias("suppliers"))
 
 
+@query
+def companies_in_segments(spark, d):
+    """The lists of companies from segments of two, put together again."""
+    rows = _order_suppliers(spark, d)
+    segments = op.collect_segments(rows, "o_orderkey", "supplier", "suppliers", size=2)
+    whole = segments.groupBy("o_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("segment", "suppliers"))).alias("parts"),
+        (F.max(F.size("suppliers")) <= 2).alias("bounded"),
+    )
+    return whole.select(
+        "o_orderkey", F.array_join(F.flatten("parts.suppliers"), ",").alias("suppliers"), "bounded"
+    )
+
+
 @query
 def collect_countries(spark, d):
     docs = documents(spark, d).select("imdb_id", F.explode_outer("production_countries").alias("c"))
@@ -372,6 +405,11 @@ def enrich_counted(spark, d):
     return op.enrich_counted(_keys(spark, d), lookups(spark, d), "id")
 
 
+@query
+def enrich_filtered(spark, d):
+    return op.enrich_filtered(_keys(spark, d), lookups(spark, d), "id")
+
+
 @query
 def chunk_copies(spark, d):
     """Chunks of the documents of all keys, copies as runs, written out again."""
