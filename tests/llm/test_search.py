@@ -180,6 +180,18 @@ def test_scan(spark):
     assert ls.scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_bsd_texts_are_told_apart(spark):
+    two, three, begins = (ls.TEMPLATES[n] for n in ("BSD-2-Clause", "BSD-3-Clause", "BSD-beginning"))
+    changed = three.replace("the copyright holder nor", "the Example Project nor")
+    words = two.split()
+    cut = " ".join(words[: len(words) * 9 // 10])
+    texts = [(1, f"x y {two} z"), (2, f"Copyright {three}"), (3, begins), (4, changed), (5, cut), (6, f"{two} {three}")]
+    by = {r["doc_id"]: r for r in rows_of(ls.scan_licenses(documents(spark, texts)))}
+    names = {i: by[i]["license"] for i in by}
+    assert names == {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "BSD-beginning", 4: "BSD-3-Clause", 5: "BSD-2-Clause", 6: "BSD-3-Clause"}
+    assert by[1]["coverage"] == by[2]["coverage"] == by[3]["coverage"] == 1.0 > by[4]["coverage"] > 0.9
+
+
 # Fingerprints
 
 
