@@ -152,7 +152,13 @@ def _finder(index: ItemIndex):
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns; a narrow filter."""
+    """The rows of ``docs`` that contain no item, with all their columns; a narrow filter.
+
+    Null and empty texts contain none and stay, very long ones are searched whole. Repeated rows
+    stay or go together; a null ``doc_id`` and columns of any name are kept. Items that repeat
+    count once, items that are null or without words are in no text. No items drop no row, and
+    no rows give no rows.
+    """
     out = docs
     for index in item_blocks(items, k, threshold):
         rows = out.select(F.struct("*").alias("row"), text_of().alias("text"))

@@ -261,8 +261,9 @@ def score(
     """``doc_id, held_out, score, predicted`` for each row of ``docs``.
 
     ``docs`` has ``doc_id`` and ``text`` and ``labels`` has ``doc_id`` and ``quality``; other
-    columns are not read. A null text scores like an empty one; a null ``doc_id`` is in no
-    fold. Repeated rows stay repeated. No rows give no rows.
+    columns are not read. A null text scores like an empty one, a very long one is scored whole;
+    a null ``doc_id`` is in no fold. Labels that clash count one by one in the fit. Repeated rows
+    stay repeated. No rows give no rows.
     """
     model, stored = train(docs, labels, folds=folds, held_out=held_out)
     return stored.select(
@@ -273,7 +274,12 @@ def score(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` at least, with all their columns."""
+    """The rows of ``docs`` that score ``threshold`` at least, with all their columns.
+
+    Null and empty texts score like any text without words, very long ones are scored whole, and
+    a null ``doc_id`` is no reason to drop a row. Equal texts have equal scores, so repeated rows
+    stay or go together. Columns of any name are kept. No rows give no rows.
+    """
     model, _ = train(docs, labels)
     # In a struct no name of the table can clash with a name of this step.
     rows = docs.select(F.struct("*").alias("row"), text_of().alias("whole"))

@@ -298,8 +298,9 @@ def score(
     """``doc_id, held_out, score, predicted`` for each row of ``docs``.
 
     ``docs`` has ``doc_id`` and ``text`` and ``labels`` has ``doc_id`` and ``toxic``; other
-    columns are not read. A null text scores like an empty one; a null ``doc_id`` is in no
-    fold. Repeated rows stay repeated. No rows give no rows.
+    columns are not read. A null text scores like an empty one, a very long one is scored whole;
+    a null ``doc_id`` is in no fold. Of labels that clash the greatest counts. Repeated rows stay
+    repeated. No rows give no rows.
     """
     model = train(docs, labels, folds=folds, held_out=held_out, sample_rows=sample_rows)
     featured = docs.select(
