@@ -2,18 +2,24 @@
 
 A spot is a common word with the chain of content words that follow it. The set of a
 text's spots says what its prose is about and hardly notices navigation and other text
-without common words. Sets are compared by Jaccard similarity, which is cut short where
-the set lengths alone rule out the least similarity asked for.
+without common words.
+
+Sets are partitioned by length, each partition as wide as the least similarity asked for allows:
+sets that are alike are in one partition or in neighbouring ones. Within these they are compared by
+Jaccard similarity, which is cut short where the lengths, or one half of the spots, already rule
+out the least similarity.
 
 All steps are built-in functions; lambdas read their own item only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ordered_blocks, shuffle_partitions, text_of
+from .shared import ordered_blocks, shuffle_partitions, stage, text_of
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -68,22 +74,102 @@ def fingerprint(spots_name: str) -> Column:
     return F.md5(F.array_join(F.transform(spots_name, lambda s: s.cast("string")), ","))
 
 
-def likeness(a: str, b: str, least: float = 0.0) -> Column:
+def length_part(n: Column, least: float) -> Column:
+    """The partition of a set with ``n`` spots.
+
+    Sets with a similarity of ``least`` have lengths that differ by that factor at most, so they
+    are in one partition or in two that follow each other. The width is a trifle larger, so that
+    no rounding puts them further apart.
+    """
+    width = -math.log(least) + 1e-9
+    return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / width)
+
+
+def likeness(a: str, b: str, least: float = 0.0, halves: bool = False) -> Column:
     """Jaccard similarity of two sets of spots; 0 where it cannot reach ``least``.
 
-    The smaller length divided by the larger bounds the similarity, so such pairs are
-    decided without a look at the sets. Two empty sets are alike.
+    Sets that are not in one partition by length or in neighbouring ones, or whose lengths differ
+    by more than ``least``, are decided without a look at the spots. With ``halves`` the negative
+    spots are compared first; if these and all others of the smaller rest are too few, the rest
+    is not looked at. Two empty sets are alike.
     """
     na, nb = F.size(a), F.size(b)
     common = F.size(F.array_intersect(a, b))
     similarity = common / (na + nb - common)
-    bound = F.least(na, nb) / F.greatest(na, nb, F.lit(1))
-    return (
-        F.when((na == 0) & (nb == 0), 1.0)
-        .when(bound < least, 0.0)
-        .otherwise(similarity)
-        .cast("double")
+    decided = F.when((na == 0) & (nb == 0), 1.0)
+    if least > 0:
+        apart = F.abs(length_part(na, least) - length_part(nb, least)) > 1
+        bound = F.least(na, nb) / F.greatest(na, nb, F.lit(1))
+        decided = decided.when(apart, 0.0).when(bound < least, 0.0)
+    if halves:
+        low_a, low_b = (F.filter(s, lambda x: x < 0) for s in (a, b))
+        rest = F.least(na - F.size(low_a), nb - F.size(low_b))
+        reach = F.size(F.array_intersect(low_a, low_b)) + rest
+        decided = decided.when(reach / (na + nb - reach) < least, 0.0)
+    return decided.otherwise(similarity).cast("double")
+
+
+def similar_texts(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """All pairs of different fingerprints with a likeness of ``least``, and who has them.
+
+    ``docs`` has ``doc_id`` and ``text``; other columns are not read. Returns the members, a row
+    for each row of ``docs`` with ``doc_id`` and ``fingerprint``, and the links, ``a, b, likeness``
+    with ``a`` the smaller fingerprint. Documents with equal fingerprints are one set and not
+    compared, so copies cost nothing. Null and empty texts have the spot of the beginning only
+    and are equal. No rows give no members and no links.
+
+    Sets that are alike share one of their rarest spots, as many as may be missing and one more.
+    These are joined by spot and partition; a spot that most texts have is rare in none but
+    texts that have nothing else. Lost are no links, as the join is exact.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("least is above 0, and at most 1")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    members = stage(
+        spots(texts, "text", "spots").select("doc_id", fingerprint("spots").alias("fingerprint"), "spots"),
+        "members",
+    )
+    sets = stage(
+        members.groupBy("fingerprint").agg(F.first("spots").alias("spots")).withColumn("n", F.size("spots")),
+        "sets",
+    )
+    single = sets.select("fingerprint", "n", F.explode("spots").alias("spot"))
+    counts = single.groupBy("spot").agg(F.count("*").alias("held"))
+    rarest = Window.partitionBy("fingerprint").orderBy("held", "spot")
+    # A trifle less than asked for, so that no rounding makes the prefix too short.
+    missing = F.col("n") - F.ceil(F.col("n") * (least - 1e-9))
+    prefix = stage(
+        single.join(counts, "spot")
+        .withColumn("rank", F.row_number().over(rarest))
+        .filter(F.col("rank") <= missing + 1)
+        .select("fingerprint", "n", "spot", length_part(F.col("n"), least).alias("part")),
+        "prefix",
+    )
+    shorter = prefix.select(F.col("fingerprint").alias("x"), F.col("n").alias("nx"), "spot", F.col("part").alias("at"))
+    longer = prefix.select(
+        F.col("fingerprint").alias("y"),
+        F.col("n").alias("ny"),
+        "spot",
+        F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("at"),
+        "part",
+    )
+    once = (F.col("part") > F.col("at")) | (F.col("x") < F.col("y"))
+    near = F.least("nx", "ny") >= F.greatest("nx", "ny") * (least - 1e-9)
+    candidates = (
+        shorter.join(longer, ["spot", "at"])
+        .filter(once & near & (F.col("x") != F.col("y")))
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
+    )
+    of_a = sets.select(F.col("fingerprint").alias("a"), F.col("spots").alias("spots_a"))
+    of_b = sets.select(F.col("fingerprint").alias("b"), F.col("spots").alias("spots_b"))
+    links = (
+        candidates.join(of_a, "a")
+        .join(of_b, "b")
+        .select("a", "b", likeness("spots_a", "spots_b", least, halves=True).alias("likeness"))
+        .filter(F.col("likeness") >= least)
     )
+    return members.drop("spots"), links
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -117,13 +203,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, least: float = 0.2) -> DataFrame:
     """Fingerprints of all texts, of their edited texts, and how alike they are.
 
     The edited text has its last quarter of code points (rounded down) replaced by the first
     as many of the next document in ascending ``doc_id``; the first follows the last. Null
     texts are empty; null numbers come first; rows that share a number follow each other
     in the order of their texts. Other columns are not read. No rows give no rows.
+    Likeness is compared as in ``similar_texts``: 0 where lengths rule out ``least``.
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, n_spots``.
@@ -145,7 +232,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint("spots").alias("fingerprint"),
         fingerprint("edited_spots").alias("edited_fingerprint"),
-        likeness("spots", "edited_spots").alias("near_edited"),
-        likeness("spots", "next_spots").alias("near_next"),
+        likeness("spots", "edited_spots", least).alias("near_edited"),
+        likeness("spots", "next_spots", least).alias("near_next"),
         F.size("spots").alias("n_spots"),
     )

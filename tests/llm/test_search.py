@@ -8,6 +8,7 @@ from itertools import pairwise
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lakestrata.llm import fingerprints as fp
 from lakestrata.llm import license_scan as ls
@@ -265,3 +266,81 @@ def test_pruned_likeness(spark):
         exact = len({*r.a} & {*r.b}) / len({*r.a} | {*r.b}) if r.a or r.b else 1.0
         assert r.x == exact
         assert r.y == (exact if exact >= 0.5 or r.y else 0.0)
+
+
+def sets_of(spark, texts):
+    frame = documents(spark, texts).withColumn("text", F.coalesce("text", F.lit("")))
+    return {r["doc_id"]: frozenset(r["s"]) for r in fp.spots(frame, "text", "s").collect()}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8, 1.0])
+def test_similar_texts_are_those_of_all_pairs(spark, least):
+    """Edited texts of all degrees, copies, short and empty ones, and spots that most texts have."""
+    rng = random.Random(int(least * 10))
+    texts = []
+    for i in range(30):
+        words = own_prose(rng, i).split()
+        for j in range(4):
+            cut = rng.randrange(len(words) // (j + 2) + 1)
+            texts.append((len(texts), " ".join(words[cut:] if j % 2 else words[: len(words) - cut])))
+    texts += [(200, texts[3][1]), (201, texts[3][1].upper()), (202, None), (203, ""), (204, "the end"), (None, "the end")]
+    docs = documents(spark, texts).selectExpr("*", "1 AS n", "2 AS spot", "3 AS part")
+    members, links = fp.similar_texts(docs, least)
+    names = members.collect()
+    assert sorted((r["doc_id"] for r in names), key=str) == sorted((d for d, _ in texts), key=str)
+    held = sets_of(spark, [t for t in texts if t[0] is not None])
+    of = {}
+    for r in names:
+        if r["doc_id"] is not None:
+            assert of.setdefault(r["fingerprint"], held[r["doc_id"]]) == held[r["doc_id"]]
+    want = {
+        (a, b): jaccard(of[a], of[b]) for a in of for b in of if a < b and jaccard(of[a], of[b]) >= least
+    }
+    got = {(r["a"], r["b"]): r["likeness"] for r in links.collect()}
+    assert got == want
+    assert got or least == 1.0
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_no_similar_texts(spark):
+    members, links = fp.similar_texts(documents(spark, []))
+    assert members.count() == links.count() == 0
+    with pytest.raises(ValueError):
+        fp.similar_texts(documents(spark, []), 0.0)
+
+
+@pytest.mark.parametrize("least", [0.1, 0.5, 0.8])
+def test_partitions_and_pruning_lose_nothing(spark, least):
+    rng = random.Random(5)
+    pool = [rng.randrange(-(2**63), 2**63) for _ in range(60)]
+    sets = [sorted(rng.sample(pool, rng.choice([1, 2, 5, 20, 40, 50, 58]))) for _ in range(50)] + [[]]
+    frame = spark.createDataFrame([(a, b) for a in sets for b in sets], "a array<long>, b array<long>")
+    rows = frame.select(
+        "a",
+        "b",
+        fp.likeness("a", "b", least).alias("x"),
+        fp.likeness("a", "b", least, halves=True).alias("y"),
+        fp.length_part(F.size("a"), least).alias("p"),
+        fp.length_part(F.size("b"), least).alias("q"),
+    ).collect()
+    pruned = 0
+    for r in rows:
+        exact = jaccard(frozenset(r["a"]), frozenset(r["b"]))
+        for found in (r["x"], r["y"]):
+            assert found == exact or (found == 0 and exact < least)
+        pruned += r["y"] == 0 < exact
+        if r["a"] and r["b"] and exact >= least:
+            assert abs(r["p"] - r["q"]) <= 1
+    assert pruned
+
+
+def test_lengths_at_the_edge_of_a_partition(spark):
+    pairs = [(n, m) for n in range(1, 200) for m in range(n, 200) if 5 * n >= 4 * m]
+    frame = spark.createDataFrame(pairs, "n int, m int")
+    apart = F.abs(fp.length_part(F.col("n"), 0.8) - fp.length_part(F.col("m"), 0.8))
+    assert frame.select(F.max(apart)).first()[0] == 1
