@@ -1,0 +1,37 @@
+"""Files are dealt to tasks by their number, and reading what the landing has kept lists no chunks."""
+
+from pyspark.sql import functions as F
+
+from lakestrata import operators as op
+from lakestrata import sinks, sources
+from lakestrata.operators.grouping import TASK_FILES, deal_by_files
+from lakestrata.session import stage, work_dir
+from lakestrata.sources import documents as landed_documents
+
+
+def test_one_large_group_is_written_by_several_tasks(spark):
+    group = F.when(F.col("id") < 50, F.lit("few")).when(F.col("id") < 90, F.lit(None)).otherwise(F.lit("most"))
+    rows = stage(spark.range(0, 40_000, 1, 3).select("id", group.alias("g")))
+    dealt = deal_by_files(rows, "g", 100)
+    tasks = dealt.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()
+    assert len(tasks) > 40_000 // (100 * TASK_FILES)
+    assert max(r["n"] for r in tasks) < 1.2 * 100 * TASK_FILES
+    assert dealt.select("id").distinct().count() == dealt.count() == 40_000
+    assert dealt.filter("g IS NULL").count() == 40
+
+
+def test_copies_count_as_files(spark):
+    rows = stage(spark.range(0, 300, 1, 2).select("id", F.lit("g").alias("g"), F.lit(100).alias("copies")))
+    dealt = deal_by_files(rows, "g", 100, "copies")
+    assert dealt.select(F.spark_partition_id()).distinct().count() == -(-300 // TASK_FILES)
+
+
+def test_kept_schemas_are_found_without_listing_chunks(spark, monkeypatch):
+    base = work_dir(spark, "landed")
+    docs = spark.range(0, 500).select("id", F.format_string('{"a":%d}', "id").alias("payload"))
+    sinks.land_chunks(docs.transform(op.with_schema_key), f"{base}/year=2023", order_by="id")
+    listed = []
+    real = landed_documents.children
+    monkeypatch.setattr(landed_documents, "children", lambda s, p: listed.append(p) or real(s, p))
+    assert sources.landed_schemas(spark, base).count() == 1
+    assert listed and not any("schema_id=" in p for p in listed)
