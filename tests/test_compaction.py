@@ -130,3 +130,13 @@ def test_contents_are_read_once_and_not_numbered(spark, monkeypatch):
     sinks.land_chunks(documents(spark, 500), landed)
     sinks.compact_documents(spark, landed, work_dir(spark, "target"))
     assert seen == [["file", "schema_id", "records", "bytes"]] and len(reads) == 1
+
+
+def test_small_bins_share_tasks(spark):
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "compacted")
+    sinks.land_chunks(documents(spark, 20_000), landed)
+    sinks.compact_documents(spark, landed, target, bin_bytes=500)
+    files = text_files(target)
+    tasks = {os.path.basename(f).split("-")[1] for f in files}
+    assert len(files) > 128 and len(tasks) <= -(-len(files) // compaction.TASK_FILES)
+    assert spark.read.text(target).count() == 20_000
