@@ -77,3 +77,11 @@ def test_the_bucketed_titles_are_not_shuffled(spark):
     assert not any("Exchange" in line for line in above), above
     assert sum("SortMergeJoin" in line for line in above) == 2
     assert sources.read_place(spark, name).count() == trusted.count()
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("lakestrata.sinks.catalog.BUCKET_ROWS", 50)
+    name = sinks.save_table(rows(spark, 300), "bucket_db", "grown", work_dir(spark, "g"), buckets=("imdb_id", 4))
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Num Buckets'")
+    assert described.first()["data_type"] == "8"
+    assert spark.table(name).count() == 300
