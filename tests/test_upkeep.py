@@ -136,3 +136,16 @@ def test_a_run_that_fails_can_be_run_again(spark, monkeypatch):
             else:
                 kept.add(batch(spark, held[1]), 2)
     same(kept, spark, held)
+
+
+def test_joined_rows_are_written_by_part_without_a_shuffle(spark):
+    kept = fresh(spark, "sorted_by_part")
+    kept.add(batch(spark, some(1)), 1)
+    assert "title" not in spark.read.parquet(f"{kept.path}/titles").columns
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = kept.rows(range(PARTS))._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    top = next(i for i, line in enumerate(plan) if "SortMergeJoin" in line)
+    assert "part" in plan[top] and not any("Exchange" in line for line in plan[:top])
