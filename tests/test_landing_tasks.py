@@ -26,6 +26,12 @@ def test_copies_count_as_files(spark):
     assert dealt.select(F.spark_partition_id()).distinct().count() == -(-300 // TASK_FILES)
 
 
+def test_large_documents_are_dealt_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr("lakestrata.operators.grouping._TASK_BYTES", 10_000)
+    rows = stage(spark.range(0, 100, 1, 2).select("id", F.lit("g").alias("g"), F.repeat(F.lit("x"), 1000).alias("p")))
+    assert deal_by_files(rows, "g", 100, None, "p").select(F.spark_partition_id()).distinct().count() > 5
+
+
 def test_kept_schemas_are_found_without_listing_chunks(spark, monkeypatch):
     base = work_dir(spark, "landed")
     docs = spark.range(0, 500).select("id", F.format_string('{"a":%d}', "id").alias("payload"))
