@@ -18,6 +18,10 @@ from lakestrata.llm.near_dedup import NearDuplicates
 from lakestrata.llm.queries import table, vocabulary
 from lakestrata.session import stage
 
+# The workers that pack share an executor with all that the stages before have left in its JVM,
+# so they remember a third of the words that the operator alone does.
+MEMO = 200_000
+
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -44,7 +48,7 @@ def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of all remaining documents."""
-    return packing.pack(docs, vocabulary())
+    return packing.pack(docs, vocabulary(), memo=MEMO)
 
 
 STAGES = [

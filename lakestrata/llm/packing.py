@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import stage, text_of
-from .tokenize import encoder
+from .tokenize import MEMO, encoder
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, "
@@ -151,12 +151,17 @@ class Places:
 
 
 def cut_tokens(
-    docs: DataFrame, vocabulary: str, capacity: int, end_id: int, keep_ids: bool = False
+    docs: DataFrame,
+    vocabulary: str,
+    capacity: int,
+    end_id: int,
+    keep_ids: bool = False,
+    memo: int = MEMO,
 ) -> DataFrame:
     """One row for each piece of a document's ids, which ``end_id`` ends."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, memo).encoded
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         end = np.array([end_id], dtype="<u4").tobytes()
@@ -224,6 +229,7 @@ def pack(
     capacity: int = 4096,
     end_id: int = 1,
     keep_ids: bool = False,
+    memo: int = MEMO,
 ) -> DataFrame:
     """Packs documents into as few sequences of at most ``capacity`` ids as it can.
 
@@ -233,9 +239,10 @@ def pack(
     as often as they occur; a null ``doc_id`` stays null. No rows give no rows.
 
     Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and, with
-    ``keep_ids``, ``ids`` for ``sequences``.
+    ``keep_ids``, ``ids`` for ``sequences``. ``memo`` bounds the words that a worker remembers:
+    fewer take less memory and more time.
     """
-    pieces = stage(cut_tokens(docs, vocabulary, capacity, end_id, keep_ids), "pieces")
+    pieces = stage(cut_tokens(docs, vocabulary, capacity, end_id, keep_ids, memo), "pieces")
     placed = place_pieces(pieces, capacity)
     return placed if keep_ids else placed.drop("ids")
 

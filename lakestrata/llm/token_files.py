@@ -205,7 +205,7 @@ def write_ids(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary).encoded
         end = np.array([end_id], dtype="<u4").tobytes()
         system, root = files(folder)
         system.create_dir(root, recursive=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,19 +16,24 @@ _COMBINING = (b"\xcc", b"\xcd")
 # Marks that no rule of the vocabulary joins with a letter before them.
 _ENDINGS = b".,;:!?%#$&*"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+# Runs of words in one call of the tokenizer, whose answer takes some 150 bytes an id.
+_CALL = 16
+# Words in a generation of the memo; two full ones take some 250 MB of a worker.
+MEMO = 600_000
 
 
-def _chunks(texts: list[bytes], size: int) -> list[list[bytes]]:
+def _chunks(texts: Iterable[bytes], size: int) -> Iterator[list[bytes]]:
     """Runs of texts of about ``size`` bytes together; a longer text is a run of its own."""
-    out: list[list[bytes]] = []
+    run: list[bytes] = []
     held = 0
     for text in texts:
-        if not out or held + len(text) > size:
-            out.append([])
-            held = 0
-        out[-1].append(text)
+        if run and held + len(text) > size:
+            yield run
+            run, held = [], 0
+        run.append(text)
         held += len(text)
-    return out
+    if run:
+        yield run
 
 
 class WordEncoder:
@@ -44,7 +51,7 @@ class WordEncoder:
     old one, and a word found in the old one moves back. All ids are the tokenizer's own.
     """
 
-    def __init__(self, path: str, memo: int = 600_000, run: int = 1 << 23) -> None:
+    def __init__(self, path: str, memo: int = MEMO, run: int = 1 << 21) -> None:
         quiet_tokenizers()
         from tokenizers import Tokenizer
 
@@ -64,6 +71,10 @@ class WordEncoder:
         plain = [w for w in words if _MARK not in w]
         self.young.update((w, self.whole(w)) for w in words if _MARK in w)
         runs = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        for i in range(0, len(runs), _CALL):
+            self._encode_runs(runs[i : i + _CALL])
+
+    def _encode_runs(self, runs: list[list[bytes]]) -> None:
         joined = [(b" " + _MARK + b" ").join(run).decode() for run in runs]
         found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
         for run, encoding in zip(runs, found, strict=True):
@@ -138,17 +149,27 @@ class WordEncoder:
         bounds = np.concatenate([[0], 4 * ends])[words.offsets.to_numpy()].tolist()
         return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
+    def encoded(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` run by run: one run and its ids are in memory at a time.
+
+        Arrow's pool keeps what a run has taken. It is given back at the end, as it counts
+        like the memory of the executor's JVM.
+        """
+        raws = (self._cased(text.as_py()) for text in texts.cast(pa.binary()))
+        for run in _chunks(raws, self.run):
+            yield from self._run(run)
+        pa.default_memory_pool().release_unused()
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        raws = [self._cased(raw) for raw in texts.cast(pa.binary()).to_pylist()]
-        return [ids for run in _chunks(raws, self.run) for ids in self._run(run)]
+        return list(self.encoded(texts))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, memo: int = MEMO) -> WordEncoder:
     """This worker's encoder of a vocabulary; its memo serves all of the worker's tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, memo) not in _ENCODERS:
+        _ENCODERS[path, memo] = WordEncoder(path, memo)
+    return _ENCODERS[path, memo]

@@ -190,3 +190,36 @@ def test_reading_needs_no_join(spark):
     plan = token_files.read_ids(listed)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Broadcast" not in plan and "SinglePartition" not in plan
     assert listed.count() > 4
+
+
+def test_an_encoder_takes_words_and_texts_in_bounded_runs(monkeypatch):
+    """The memory of a worker: neither all new words nor all texts of a batch at once."""
+    encoder = WordEncoder(VOCABULARY, memo=100, run=50_000)
+    calls, held = [], []
+    tokenizer, run = encoder.tokenizer, encoder._run
+
+    class Counted:
+        def encode_batch_fast(self, joined, **more):
+            calls.append(sum(len(text.split(" | ")) for text in joined))
+            return tokenizer.encode_batch_fast(joined, **more)
+
+    def counted(texts):
+        held.append(sum(map(len, texts)))
+        return run(texts)
+
+    monkeypatch.setattr(encoder, "tokenizer", Counted())
+    monkeypatch.setattr(encoder, "_run", counted)
+    texts = [" ".join(f"w{chr(97 + i)}x{n}y" for n in range(9000)) for i in range(3)]
+    first = next(encoder.encoded(pa.array(texts)))
+    assert first == packed(ids(texts[0])) and len(held) == 1
+    assert max(calls) <= 256 * 16
+    calls.clear()
+    assert encoder.encode(pa.array(texts)) == [packed(ids(t)) for t in texts]
+    assert max(calls) <= 256 * 16
+
+
+def test_the_pipeline_packs_like_the_operator_with_fewer_words_remembered(spark):
+    docs = spark.createDataFrame([(i, f"some words {i} of a text " * (i % 7)) for i in range(60)], "doc_id long, text string")
+    few = packing.pack(docs, VOCABULARY, memo=3).drop("sequence_id", "offset")
+    many = packing.pack(docs, VOCABULARY).drop("sequence_id", "offset")
+    assert sorted(few.collect()) == sorted(many.collect())
