@@ -30,7 +30,9 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages and chunks leave the text; a document of which nothing is left goes."""
-    out = dedup_lines(drop_passages(docs), drop_emptied=True, counts=False)
+    # Lines are read several times; without a stored copy each would cut the passages out again.
+    without = stage(drop_passages(docs), "without_passages")
+    out = dedup_lines(without, drop_emptied=True, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
