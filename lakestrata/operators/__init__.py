@@ -1,6 +1,6 @@
 """Steps from DataFrame to DataFrame. None starts a Spark job, except
-``number_within`` and what builds on it, which write their ordered input, and
-``enrich_counted``, which writes the counted keys."""
+``number_within`` and what builds on it, which write their ordered input,
+``enrich_counted``, which writes the counted keys, and ``distinct_of_few``, which writes hashes."""
 
 from lakestrata.operators.grouping import (
     chunk_copies,
@@ -18,6 +18,7 @@ from lakestrata.operators.merge import (
     attach,
     collect_distinct,
     collect_segments,
+    distinct_of_few,
     distinct_rows,
     known_pairs,
     union_batches,
@@ -44,6 +45,7 @@ __all__ = [
     "collect_distinct",
     "collect_segments",
     "count_keys",
+    "distinct_of_few",
     "distinct_rows",
     "drop_fields",
     "encode_chunks",
