@@ -140,3 +140,16 @@ def test_small_bins_share_tasks(spark):
     tasks = {os.path.basename(f).split("-")[1] for f in files}
     assert len(files) > 128 and 8 * len(tasks) < len(files)
     assert spark.read.text(target).count() == 20_000
+
+
+def test_wanted_records_do_not_go_through_the_driver(spark):
+    landed, target = work_dir(spark, "landed"), work_dir(spark, "target")
+    sinks.land_chunks(documents(spark, 1000), landed)
+    sinks.compact_documents(spark, landed, target, bin_bytes=2000)
+    files = spark.read.parquet(f"{target}/{INDEX}")
+    # The rows of a list count as large as the list, so these look smaller than the index.
+    wanted = files.select("file", F.explode(F.sequence(F.lit(1), "records")).alias("record"))
+    fetched = sinks.fetch_records(spark, target, wanted)
+    plan = fetched._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [file#" in plan and "BroadcastHashJoin [file#" not in plan
+    assert fetched.count() == 1000
