@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakestrata import operators as op
 from lakestrata import sinks, sources
 from lakestrata.operators.grouping import TASK_FILES, deal_by_files
-from lakestrata.session import stage, work_dir
+from lakestrata.session import children, job_folder, stage, work_dir
 from lakestrata.sources import documents as landed_documents
 
 
@@ -41,3 +41,21 @@ def test_kept_schemas_are_found_without_listing_chunks(spark, monkeypatch):
     monkeypatch.setattr(landed_documents, "children", lambda s, p: listed.append(p) or real(s, p))
     assert sources.landed_schemas(spark, base).count() == 1
     assert listed and not any("schema_id=" in p for p in listed)
+
+
+def test_documents_in_order_are_made_once_and_what_is_staged_goes(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 500, 1, 3).select("id", F.format_string('{"a":%d}', "id").alias("payload"))
+    rows = rows.mapInArrow(count, "id long, payload string").transform(op.with_schema_key)
+    with job_folder(spark) as folder:
+        sinks.land_chunks(rows, f"{folder}/landed", order_by="id")
+        assert made.value == 500
+        assert not [n for n in children(spark, folder) if n.startswith("lines")]
+        chunks = sources.read_objects(spark, f"{folder}/landed")
+        assert chunks.count() == 5
