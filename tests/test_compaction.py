@@ -11,7 +11,7 @@ from lakestrata import operators as op
 from lakestrata import plans, sinks, sources
 from lakestrata.layout import INDEX, day_path
 from lakestrata.schemas import LONG, STRING, struct
-from lakestrata.session import work_dir
+from lakestrata.session import children, job_folder, work_dir
 from lakestrata.sinks import compaction
 
 
@@ -153,3 +153,27 @@ def test_wanted_records_do_not_go_through_the_driver(spark):
     plan = fetched._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [file#" in plan and "BroadcastHashJoin [file#" not in plan
     assert fetched.count() == 1000
+
+
+def test_compressed_files_hold_the_same_records(spark):
+    plain, landed, target = (work_dir(spark, n) for n in ("plain", "landed", "target"))
+    sinks.land_chunks(documents(spark, 3000), plain)
+    sinks.land_chunks(documents(spark, 3000), landed, compression="gzip")
+    sinks.compact_documents(spark, landed, target, bin_bytes=4000, compression="gzip")
+    names = [n for _, _, found in os.walk(local(target)) for n in found if n.startswith("part-") and ".txt" in n]
+    assert names and all(n.endswith(".txt.gz") for n in names) and not text_files(landed)
+    want = spark.read.text(plain)
+    for folder in (landed, target):
+        assert want.exceptAll(spark.read.text(folder)).count() == 0
+        assert sources.read_document_lines(spark, folder, struct(a=LONG, b=STRING)).count() == 3000
+    files = spark.read.parquet(f"{target}/{INDEX}")
+    wanted = files.select("file", F.explode(F.sequence(F.lit(1), "records")).alias("record"))
+    fetched = sinks.fetch_records(spark, target, wanted)
+    assert want.exceptAll(fetched.select("payload")).count() == 0 and fetched.count() == 3000
+
+
+def test_what_compaction_stages_of_contents_goes(spark):
+    with job_folder(spark) as folder:
+        sinks.land_chunks(documents(spark, 500), f"{folder}/landed")
+        sinks.compact_documents(spark, f"{folder}/landed", f"{folder}/target")
+        assert not [n for n in children(spark, folder) if n.startswith(("files", "lines"))]
