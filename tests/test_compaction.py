@@ -162,9 +162,9 @@ def test_compressed_files_hold_the_same_records(spark):
     sinks.compact_documents(spark, landed, target, bin_bytes=4000, compression="gzip")
     names = [n for _, _, found in os.walk(local(target)) for n in found if n.startswith("part-") and ".txt" in n]
     assert names and all(n.endswith(".txt.gz") for n in names) and not text_files(landed)
-    want = spark.read.text(plain)
+    want = spark.read.text(plain).select("value")
     for folder in (landed, target):
-        assert want.exceptAll(spark.read.text(folder)).count() == 0
+        assert want.exceptAll(spark.read.text(folder).select("value")).count() == 0
         assert sources.read_document_lines(spark, folder, struct(a=LONG, b=STRING)).count() == 3000
     files = spark.read.parquet(f"{target}/{INDEX}")
     wanted = files.select("file", F.explode(F.sequence(F.lit(1), "records")).alias("record"))

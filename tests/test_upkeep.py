@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import plans
 from lakestrata.plans.upkeep import batch_facts, part_of
-from lakestrata.session import work_dir
+from lakestrata.session import children, job_folder, work_dir
 
 LOCAL = "imdb_id string, runtime string, genre string, title string"
 DOCS = "imdb_id string, company_name string, company_origin_country string, production_country_name string"
@@ -149,3 +149,13 @@ def test_joined_rows_are_written_by_part_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     top = next(i for i, line in enumerate(plan) if "SortMergeJoin" in line)
     assert "part" in plan[top] and not any("Exchange" in line for line in plan[:top])
+
+
+def test_facts_of_a_first_batch_are_written_once_and_not_compared(spark):
+    with job_folder(spark) as folder:
+        kept = fresh(spark, "first_batch")
+        kept.add(batch(spark, some(1)), 1)
+        staged = {name.partition("-")[0] for name in children(spark, folder)}
+        assert "kept" in staged and not staged & {"facts", "changed"}
+        assert not [n for n in children(spark, kept.path) if n.startswith("_")]
+        same(kept, spark, [some(1)])
